@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from leadmill.plans import dimensions as dims
 from leadmill.plans import facts
@@ -45,6 +45,8 @@ class ModelSpec:
     full_refresh: bool = False  # incremental table whose rows are all recomputed and upserted
     on_schema_change: str = "ignore"  # or "sync_all_columns"
     alias: str | None = None
+    # Driving rows whose result also depends on the date, given the day of the last run.
+    ages: Callable[[Column], Column] | None = None
 
     @property
     def table(self) -> str:
@@ -78,6 +80,11 @@ def _from(database: str, *names: str) -> dict[str, str]:
     return {n: f"{database}.{n}" for n in names}
 
 
+def _still_running(last: Column) -> Column:
+    """Campaigns that get new days as time goes by."""
+    return F.col("end_date").isNull() | (F.to_date("end_date") >= last)
+
+
 _BY_CAMPAIGN = {"campaign_id": "campaign_id"}
 _BY_CONTACT = {"contact_id": "contact_id"}
 
@@ -140,12 +147,14 @@ _DIMENSIONS = [
         "opportunity_sk", "opportunity", "opportunity_id",
         {"account": link({"account_id": "account_id"}), "campaign": link(_BY_CAMPAIGN)},
         watermark="close_date",
+        ages=lambda last: F.col("close_date").isNotNull(),
     ),
     ModelSpec(
         "dim_opportunity_performance", MARKETING, dims.dim_opportunity_performance,
         _from(STAGING, "opportunity", "account", "campaign"),
         "opportunity_sk", "opportunity", "opportunity_id",
         {"account": link({"account_id": "account_id"}), "campaign": link(_BY_CAMPAIGN)},
+        ages=lambda last: F.col("close_date").isNull(),
     ),
 ]
 
@@ -182,6 +191,7 @@ _FACTS = [
             "dim_opportunity_performance": link(_BY_CAMPAIGN),
         },
         undated=frozenset({"dim_date"}),
+        ages=_still_running,
     ),
     ModelSpec(
         "fct_daily_performance", MARKETING, facts.fct_daily_performance,
@@ -198,12 +208,14 @@ _FACTS = [
             "dim_opportunity_performance": link(_BY_CAMPAIGN),
         },
         undated=frozenset({"dim_date"}),
+        ages=_still_running,
     ),
     ModelSpec(
         "fct_event_performance", MARKETING, facts.fct_event_performance,
         _from(MARKETING, "dim_event_outcome", "dim_email_engagement"),
         "event_outcome_sk", "dim_event_outcome", "event_id",
         {"dim_email_engagement": link({"event_id": "campaign_name"})},
+        ages=lambda last: F.col("days_to_opportunity").isNotNull(),
     ),
     ModelSpec(
         "fct_lead_to_opportunity_conversion", MARKETING, facts.fct_lead_to_opportunity_conversion,

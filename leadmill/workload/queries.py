@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from leadmill.plans.models import DIMENSION_MODELS, FACT_MODELS, STAGING_MODELS, derive
 from leadmill.session import tune
 from leadmill.workload.oracle import with_ctes
-from leadmill.workload.views import AS_OF, view, VIEW_SQL
+from leadmill.workload.views import AS_OF, view
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,10 +22,10 @@ class LazyViews(dict):
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
-        self._args = spark, sf_dir
+        self.spark, self.sf_dir = spark, sf_dir
 
     def __missing__(self, name: str) -> DataFrame:
-        self[name] = view(*self._args, name)
+        self[name] = view(self.spark, self.sf_dir, name)
         return self[name]
 
 
