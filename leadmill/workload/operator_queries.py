@@ -51,8 +51,13 @@ EARLIER = datetime(2024, 2, 3)
 EARLIER_SQL = f"TIMESTAMP '{EARLIER:%Y-%m-%d %H:%M:%S}'"
 AFTER_BATCH = "1999-01-01_000000"
 
+LANDED_NAMES = (
+    "opportunity_id", "opportunity_name", "account_id", "stage_name", "amount", "close_date", "created_date",
+    "source_note", "batch_id", "file_path",
+)
 EXTRA = {
-    "landed_opportunity": VIEW_SQL_EXTRA["landed_opportunity"],
+    "landed_as_is": VIEW_SQL_EXTRA["landed_opportunity"],
+    "landed_opportunity": f"SELECT {', '.join(f'{c} AS {c}' for c in LANDED_NAMES)} FROM landed_as_is",
     "opportunity_changes": VIEW_SQL_EXTRA["opportunity_changes"],
     "batches": f"SELECT o_orderkey, {BATCH_SQL} AS batch_id FROM orders",
     "parsed_batches": r"""SELECT o_orderkey, batch_id,
@@ -673,7 +678,8 @@ def stream_ingest(t: Tables) -> DataFrame:
         rows = conform(OPP, clean(OPP, sql_on(batch.sparkSession, LANDED_SQL, orders=batch)))
         rows.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
 
-    path = f"{t.raw.sf_dir.rstrip('/')}/orders.parquet"
+    # As a pattern, the path may stand for one file or for a folder of files.
+    path = f"{t.raw.sf_dir.rstrip('/')}/[o]rders.parquet"
     schema = base_tables(t.spark, t.raw.sf_dir, ["orders"])["orders"].schema
     run_available(read_landing(t.spark, path, schema), checkpoint, write)
     return newest_rows(OPP, t.spark.read.parquet(out)).select(*OPP.fields)
