@@ -9,16 +9,15 @@ NULL_KEY_TEXT = "_dbt_utils_surrogate_key_null_"
 KEY_SEPARATOR = "-"
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def _texts(cols: tuple[str, ...], null_text: str) -> str:
+    return ", ".join(f"coalesce(cast({c} AS STRING), '{null_text}')" for c in cols)
 
 
-def surrogate_key(*cols: Column | str) -> Column:
+def surrogate_key(*cols: str) -> Column:
     """MD5 over the text forms of the columns; NULLs hash as a fixed text, so the key is never NULL."""
-    parts = [F.coalesce(_col(c).cast("string"), F.lit(NULL_KEY_TEXT)) for c in cols]
-    return F.md5(F.concat_ws(KEY_SEPARATOR, *parts))
+    return F.expr(f"md5(concat_ws('{KEY_SEPARATOR}', {_texts(cols, NULL_KEY_TEXT)}))")
 
 
-def fact_key(*cols: Column | str) -> Column:
+def fact_key(*cols: str) -> Column:
     """MD5 over the columns glued together without separator, NULL as empty text."""
-    return F.md5(F.concat(*[F.coalesce(_col(c).cast("string"), F.lit("")) for c in cols]))
+    return F.expr(f"md5(concat({_texts(cols, '')}))")

@@ -18,7 +18,7 @@ def is_time_type(dtype: T.DataType) -> bool:
 
 def stamp(as_of: datetime) -> Column:
     """A pinned clock reading as a column."""
-    return F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.expr(f"TIMESTAMP_NTZ'{as_of.isoformat(sep=' ')}'")
 
 
 def day(as_of: datetime | date) -> Column:

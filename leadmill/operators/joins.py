@@ -124,6 +124,7 @@ def fanout_left_join(
     on: str,
     split_rows: int = 4096,
     left_rows: DataFrame | None = None,
+    right_rows: DataFrame | None = None,
 ) -> DataFrame:
     """N:M left join on one column that stays balanced when a key is hot on either side.
 
@@ -133,7 +134,8 @@ def fanout_left_join(
     list of hot keys has at most (rows of both sides) / ``split_rows`` entries, and Spark decides by
     its size whether to broadcast it.
 
-    ``left_rows`` may name a cheaper frame whose rows per key stand in for those of ``left``.
+    ``left_rows`` and ``right_rows`` may name cheaper frames with the same keys, whose rows per key stand
+    in for those of the sides.
     """
     count = lambda df, name: (
         df.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias(name))
@@ -141,33 +143,30 @@ def fanout_left_join(
     parts = lambda n: F.ceil(F.col(n) / split_rows).cast("int")
     hot = (
         count(left if left_rows is None else left_rows, "__n_left")
-        .join(count(right, "__n_right"), on)
+        .join(count(right if right_rows is None else right_rows, "__n_right"), on)
         .where((F.col("__n_left") > split_rows) | (F.col("__n_right") > split_rows))
         .select(F.col(on).alias("__hot"), parts("__n_left").alias("__a"), parts("__n_right").alias("__b"))
     )
 
-    def cells(df: DataFrame, own: str, other: str) -> DataFrame:
+    def cells(df: DataFrame, own: str, other: str) -> tuple[Column, Column]:
         own_part = F.pmod(F.xxhash64(*df.columns), F.col(own)).cast("int")
-        other_parts = F.sequence(F.lit(0), F.coalesce(F.col(other) - 1, F.lit(0)))
-        marked = df.join(hot, df[on] == hot["__hot"], "left")
-        marked = marked.withColumns({f"__cell{own}": F.coalesce(own_part, F.lit(0))})
-        return marked.withColumn(f"__cell{other}", F.explode(other_parts)).drop("__a", "__b")
-
-    l = cells(left, "__a", "__b")
-    r = cells(right, "__b", "__a").drop("__hot")
-    r = r.select(
-        F.col(on).alias("__right_key"),
-        F.col("__cell__a").alias("__right_a"),
-        F.col("__cell__b").alias("__right_b"),
-        *[c for c in right.columns if c != on],
+        other_parts = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other) - 1, F.lit(0))))
+        return F.coalesce(own_part, F.lit(0)), other_parts
+
+    own, others = cells(left, "__a", "__b")
+    l = left.join(hot, left[on] == hot["__hot"], "left").select(
+        *left.columns, "__hot", own.alias("__left_a"), others.alias("__left_b")
+    )
+    own, others = cells(right, "__b", "__a")
+    r = right.join(hot, right[on] == hot["__hot"], "left").select(
+        F.col(on).alias("__right_key"), *[c for c in right.columns if c != on],
+        own.alias("__right_b"), others.alias("__right_a"),
     )
-    joined = l.join(
-        r,
-        (l[on] == r["__right_key"])
-        & (l["__cell__a"] == r["__right_a"])
-        & (l["__cell__b"] == r["__right_b"]),
-        "left",
+    same_cell = (
+        (F.col(on) == F.col("__right_key"))
+        & (F.col("__left_a") == F.col("__right_a"))
+        & (F.col("__left_b") == F.col("__right_b"))
     )
     # A hot key always has right rows, so an empty cell of its grid is not an unmatched left row.
-    kept = joined.where(F.col("__right_key").isNotNull() | F.col("__hot").isNull())
-    return kept.drop("__right_key", "__right_a", "__right_b", "__hot", "__cell__a", "__cell__b")
+    kept = l.join(r, same_cell, "left").where(F.col("__right_key").isNotNull() | F.col("__hot").isNull())
+    return kept.select(*left.columns, *[c for c in right.columns if c != on])

@@ -42,35 +42,59 @@ class Warehouse:
         return [c.name for c in self.spark.catalog.listColumns(table) if c.isPartition]
 
     def write(
-        self, table: str, df: DataFrame, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (), mode: str = "overwrite"
+        self,
+        table: str,
+        df: DataFrame,
+        partition_by: Sequence[str] = (),
+        sort_by: Sequence[str] = (),
+        rebalance: bool = True,
     ) -> None:
         """Write a table whose input does not read it.
 
         Rows of a partition are brought together and sorted, so that each partition gets few files
         with narrow value ranges. The rebalancing splits partitions that are too big for one task.
         """
-        if partition_by:
+        if partition_by and rebalance:
             df = df.hint("rebalance", *partition_by)
         order = [*partition_by, *[c for c in sort_by if c not in partition_by]]
         if order:
             df = df.sortWithinPartitions(*order)
-        writer = df.write.mode(mode).format("parquet")
+        writer = df.write.mode("overwrite").format("parquet")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.saveAsTable(table)
 
     def replace(self, table: str, df: DataFrame, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> None:
-        """Replace a table, also by rows computed from itself."""
+        """Replace a table, also by rows computed from itself.
+
+        The new rows are complete as ``<table>__next`` before the old ones go.
+        """
+        self.recover(table)
+        if not self.exists(table):
+            self.write(table, df, partition_by, sort_by)
+            return
         self.write(f"{table}__next", df, partition_by, sort_by)
-        self._swap(table)
+        self._swap(table, partition_by, sort_by)
 
-    def _swap(self, table: str) -> None:
-        if self.exists(table):
-            self.drop(f"{table}__old")
-            self.spark.sql(f"ALTER TABLE {table} RENAME TO {table}__old")
+    def _swap(self, table: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> None:
+        if partition_by or self.partition_columns(table):
+            # Renaming does not move the locations of partitions in every catalog, so they are copied.
+            self.write(table, self.read(f"{table}__next"), partition_by, sort_by, rebalance=False)
+            self.drop(f"{table}__next")
+            return
+        self.drop(f"{table}__old")
+        self.spark.sql(f"ALTER TABLE {table} RENAME TO {table}__old")
         self.spark.sql(f"ALTER TABLE {table}__next RENAME TO {table}")
         self.drop(f"{table}__old")
 
+    def recover(self, table: str) -> None:
+        """Finish a replacement that a lost driver left half done."""
+        if not self.exists(table) and self.exists(f"{table}__next"):
+            parts = self.partition_columns(f"{table}__next")
+            self.write(table, self.read(f"{table}__next"), parts, rebalance=False)
+            self.drop(f"{table}__next")
+            self.drop(f"{table}__old")
+
     def upsert(
         self,
         table: str,
@@ -91,6 +115,7 @@ class Warehouse:
         ``only_changes`` leaves rows alone whose values stay the same. ``track`` keeps the versions that
         get replaced in ``<table>__before``, marked with that time, for later delta runs.
         """
+        self.recover(table)
         if not self.exists(table):
             first = single_source_rows(source, key, on_duplicate_key)
             if loaded_at is not None:
@@ -129,6 +154,7 @@ class Warehouse:
         track: datetime | None = None,
     ) -> None:
         """Replace all rows with the given keys by the source rows, however many each key has."""
+        self.recover(table)
         delta, gone = f"{table}__delta", f"{table}__keys"
         self.write(delta, source)
         self.write(gone, keys.select(F.col(key).alias("__gone")))
@@ -178,6 +204,7 @@ class Warehouse:
         old = target.join(touched, inside, "left_semi")
         self.write(f"{table}__next", merge_rows(old, rows, **merge), parts, sort_by)
         new = self.read(f"{table}__next").select(*target.columns)
+        new = new.sortWithinPartitions(*parts, *[c for c in sort_by if c not in parts])
         new.write.mode("overwrite").insertInto(table)
         # A partition all of whose rows moved elsewhere is not in the new rows, so it goes by name.
         left = touched.join(new.select(*parts).distinct(), inside, "left_anti")

@@ -250,10 +250,11 @@ def fct_daily_performance(
     opps = dim_opportunity_performance.select(
         "opportunity_sk", F.col("amount").alias("opportunity_amount"), "days_open", "is_won", "campaign_id"
     )
-    rows = fanout_left_join(camp, members, "campaign_id", left_rows=dim_campaign.select("campaign_id"))
+    per_campaign = dim_campaign_member_engagement.select("campaign_id")
     rows = fanout_left_join(
-        rows, opps, "campaign_id", left_rows=dim_campaign_member_engagement.select("campaign_id")
+        camp, members, "campaign_id", left_rows=dim_campaign.select("campaign_id"), right_rows=per_campaign
     )
+    rows = fanout_left_join(rows, opps, "campaign_id", left_rows=per_campaign)
     rows = rows.withColumn("date_key", F.explode_outer("days"))
     out = rows.select(
         surrogate_key("campaign_sk", "member_sk", "contact_sk", "lead_sk", "opportunity_sk", "date_key").alias(

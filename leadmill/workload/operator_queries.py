@@ -44,7 +44,7 @@ from leadmill.sources.batches import discover_batches, newer_batches
 from leadmill.streaming.ingest import read_landing, run_available
 from leadmill.workload.oracle import STAMPED, TODAY, sk
 from leadmill.workload.queries import Tables, register
-from leadmill.workload.views import AS_OF, BATCH_SQL, LANDED_SQL, VIEW_SQL_EXTRA, base_tables, extra_view, sql_on
+from leadmill.workload.views import AS_OF, BATCH_SQL, LANDED_SQL, VIEW_SQL_EXTRA, sql_on
 
 OPP = ENTITIES["opportunity"]
 EARLIER = datetime(2024, 2, 3)
@@ -77,11 +77,11 @@ EXTRA["cleaned_opportunity"] = f"""
 
 
 def landed(t: Tables) -> DataFrame:
-    return extra_view(t.spark, t.raw.sf_dir, "landed_opportunity")
+    return t.raw["landed_opportunity"]
 
 
 def batches(t: Tables) -> DataFrame:
-    return sql_on(t.spark, EXTRA["batches"], **base_tables(t.spark, t.raw.sf_dir, ["orders"]))
+    return sql_on(EXTRA["batches"], orders=t.base["orders"])
 
 
 # --- batches -----------------------------------------------------------------------------------
@@ -228,12 +228,11 @@ def partition_columns(t: Tables) -> DataFrame:
     "SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
 )
 def latest_per_user(t: Tables) -> DataFrame:
-    events = base_tables(t.spark, t.raw.sf_dir, ["events"])["events"]
-    return dedupe_by_key(events, "user_id", [F.col("ts").desc(), F.col("event_id").desc()])
+    return dedupe_by_key(t.base["events"], "user_id", [F.col("ts").desc(), F.col("event_id").desc()])
 
 
 def changes(t: Tables) -> DataFrame:
-    return extra_view(t.spark, t.raw.sf_dir, "opportunity_changes")
+    return t.raw["opportunity_changes"]
 
 
 _MERGED = """
@@ -675,12 +674,11 @@ def stream_ingest(t: Tables) -> DataFrame:
     out, checkpoint = scratch_dir(t.spark, "ingest"), scratch_dir(t.spark, "ingest-checkpoint")
 
     def write(batch: DataFrame, epoch: int) -> None:
-        rows = conform(OPP, clean(OPP, sql_on(batch.sparkSession, LANDED_SQL, orders=batch)))
+        rows = conform(OPP, clean(OPP, sql_on(LANDED_SQL, orders=batch)))
         rows.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
 
     # As a pattern, the path may stand for one file or for a folder of files.
-    path = f"{t.raw.sf_dir.rstrip('/')}/[o]rders.parquet"
-    schema = base_tables(t.spark, t.raw.sf_dir, ["orders"])["orders"].schema
-    run_available(read_landing(t.spark, path, schema), checkpoint, write)
+    path = f"{t.base.sf_dir}/[o]rders.parquet"
+    run_available(read_landing(t.spark, path, t.base["orders"].schema), checkpoint, write)
     return newest_rows(OPP, t.spark.read.parquet(out)).select(*OPP.fields)
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from leadmill.plans.models import DIMENSION_MODELS, FACT_MODELS, STAGING_MODELS, derive
 from leadmill.session import tune
 from leadmill.workload.oracle import with_ctes
-from leadmill.workload.views import AS_OF, view
+from leadmill.workload.views import AS_OF, BaseTables, view
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,15 +17,15 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
-class LazyViews(dict):
-    """Raw views made when a model first asks for them."""
+class RawViews(dict):
+    """Raw marketing tables, each made when it is first asked for."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, base: BaseTables):
         super().__init__()
-        self.spark, self.sf_dir = spark, sf_dir
+        self.base = base
 
     def __missing__(self, name: str) -> DataFrame:
-        self[name] = view(self.spark, self.sf_dir, name)
+        self[name] = view(self.base, name)
         return self[name]
 
 
@@ -33,7 +33,9 @@ class Tables:
     """Tables by reference (``raw.x``, ``staging.x``, ``marketing.x``), derived from the raw views."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.raw, self._memo = tune(spark), LazyViews(spark, sf_dir), {}
+        self.spark = tune(spark)
+        self.base = BaseTables(spark, sf_dir)
+        self.raw, self._memo = RawViews(self.base), {}
 
     def __call__(self, ref: str) -> DataFrame:
         return derive(ref, self.raw, AS_OF, self._memo)
