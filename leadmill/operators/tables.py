@@ -130,6 +130,9 @@ class Warehouse:
             marked = keep_stamps(rows.withColumn(STAMP, F.lit(None).cast("timestamp_ntz")), target, key)
             fresh = marked.where(F.col(STAMP).isNull()).select(F.col(key).alias("__fresh"))
             rows = rows.join(fresh, rows[key].eqNullSafe(fresh["__fresh"]), "left_semi")
+        if rows.isEmpty():
+            self.drop(delta)
+            return
         if track is not None:
             self._track(table, target, rows.select(key), key, track)
         merge = dict(

@@ -82,10 +82,11 @@ def _run_affected(
     scratch = f"{spec.table}__affected"
     warehouse.write(scratch, keys)
     keys = warehouse.read(scratch)
-    rows = spec.build(**restrict_inputs(spec, inputs, keys), as_of=as_of)
-    warehouse.replace_keys(
-        spec.table, rows, keys, spec.driver_key, on_schema_change=spec.on_schema_change, track=as_of
-    )
+    if not keys.isEmpty():
+        rows = spec.build(**restrict_inputs(spec, inputs, keys), as_of=as_of)
+        warehouse.replace_keys(
+            spec.table, rows, keys, spec.driver_key, on_schema_change=spec.on_schema_change, track=as_of
+        )
     warehouse.drop(scratch)
 
 

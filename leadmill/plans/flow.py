@@ -28,11 +28,10 @@ log = logging.getLogger(__name__)
 
 
 def batch_millis(batch_id: Column) -> Column:
-    """Batch time as a number that grows with it."""
-    return (F.unix_date(F.to_date(parse_batch_id(batch_id))) * 86_400_000).cast("bigint") + (
-        F.hour(parse_batch_id(batch_id)) * 3600 + F.minute(parse_batch_id(batch_id)) * 60
-        + F.second(parse_batch_id(batch_id))
-    ) * 1000
+    """Batch time in milliseconds."""
+    t = parse_batch_id(batch_id)
+    days = F.unix_date(F.to_date(t)).cast("bigint")
+    return (days * 86_400 + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)) * 1000
 
 
 def write_clean_batches(spec: EntitySpec, raw: DataFrame, out_dir: str) -> None:
