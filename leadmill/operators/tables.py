@@ -7,7 +7,7 @@ leaves the target as it was or is healed by running the same upsert again.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 from functools import reduce
 
@@ -21,11 +21,27 @@ from leadmill.session import tune
 
 BEFORE_SUFFIX = "__before"
 REPLACED_AT = "replaced_at"
+BUCKET = "key_bucket"
+BUCKETS_PROPERTY = "leadmill.key_buckets"
+BUCKET_KEY_PROPERTY = "leadmill.bucket_key"
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, databases: Sequence[str] = ("raw", "staging", "marketing")):
+    """Tables of the session's catalog.
+
+    ``buckets`` is the number of parts into which a table without partition columns of its own is cut by
+    a hash of its key. A delta then rewrites the parts its keys fall into and no others. Zero leaves such
+    tables whole, which suits small ones. The parts are a physical matter: ``read`` does not show them.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        databases: Sequence[str] = ("raw", "staging", "marketing"),
+        buckets: int = 0,
+    ):
         self.spark = tune(spark)
+        self.buckets = buckets
         for db in databases:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
 
@@ -33,7 +49,15 @@ class Warehouse:
         return self.spark.catalog.tableExists(table)
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.table(table)
+        return self.spark.table(table).drop(BUCKET)
+
+    def bucketing(self, table: str) -> tuple[int, str] | None:
+        """Number of parts and the key they hash, for a table that is cut by key."""
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+        found = {r["key"]: r["value"] for r in rows}
+        if BUCKETS_PROPERTY not in found:
+            return None
+        return int(found[BUCKETS_PROPERTY]), found[BUCKET_KEY_PROPERTY]
 
     def drop(self, table: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
@@ -64,22 +88,41 @@ class Warehouse:
             writer = writer.partitionBy(*partition_by)
         writer.saveAsTable(table)
 
-    def replace(self, table: str, df: DataFrame, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> None:
+    def replace(
+        self,
+        table: str,
+        df: DataFrame,
+        partition_by: Sequence[str] = (),
+        sort_by: Sequence[str] = (),
+        bucket_key: str | None = None,
+    ) -> None:
         """Replace a table, also by rows computed from itself.
 
         The new rows are complete as ``<table>__next`` before the old ones go.
         """
         self.recover(table)
-        if not self.exists(table):
+        cut = None
+        if bucket_key and self.buckets and not partition_by:
+            cut = self.buckets, bucket_key
+        if self.exists(table):
+            cut = self.bucketing(table) or cut
+        if cut:
+            df, partition_by = in_buckets(df, *cut), [BUCKET]
+        if self.exists(table):
+            self.write(f"{table}__next", df, partition_by, sort_by)
+            self._swap(table, partition_by, sort_by)
+        else:
             self.write(table, df, partition_by, sort_by)
-            return
-        self.write(f"{table}__next", df, partition_by, sort_by)
-        self._swap(table, partition_by, sort_by)
+        if cut:
+            self.spark.sql(
+                f"ALTER TABLE {table} SET TBLPROPERTIES "
+                f"('{BUCKETS_PROPERTY}' = '{cut[0]}', '{BUCKET_KEY_PROPERTY}' = '{cut[1]}')"
+            )
 
     def _swap(self, table: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> None:
         if partition_by or self.partition_columns(table):
             # Renaming does not move the locations of partitions in every catalog, so they are copied.
-            self.write(table, self.read(f"{table}__next"), partition_by, sort_by, rebalance=False)
+            self.write(table, self.spark.table(f"{table}__next"), partition_by, sort_by, rebalance=False)
             self.drop(f"{table}__next")
             return
         self.drop(f"{table}__old")
@@ -91,7 +134,7 @@ class Warehouse:
         """Finish a replacement that a lost driver left half done."""
         if not self.exists(table) and self.exists(f"{table}__next"):
             parts = self.partition_columns(f"{table}__next")
-            self.write(table, self.read(f"{table}__next"), parts, rebalance=False)
+            self.write(table, self.spark.table(f"{table}__next"), parts, rebalance=False)
             self.drop(f"{table}__next")
             self.drop(f"{table}__old")
 
@@ -103,6 +146,7 @@ class Warehouse:
         *,
         partition_by: Sequence[str] = (),
         sort_by: Sequence[str] = (),
+        bucket_key: str | None = None,
         on_duplicate_key: str = "error",
         loaded_at: datetime | None = None,
         touch_on_update: bool = True,
@@ -113,14 +157,15 @@ class Warehouse:
         """Update rows with known keys and insert the others.
 
         ``only_changes`` leaves rows alone whose values stay the same. ``track`` keeps the versions that
-        get replaced in ``<table>__before``, marked with that time, for later delta runs.
+        get replaced in ``<table>__before``, marked with that time, for later delta runs. ``bucket_key``
+        is the column to cut a new table by (see the class); a row's key must determine it.
         """
         self.recover(table)
         if not self.exists(table):
             first = single_source_rows(source, key, on_duplicate_key)
             if loaded_at is not None:
                 first = first.withColumn(STAMP, stamp(loaded_at))
-            self.replace(table, first, partition_by, sort_by)
+            self.replace(table, first, partition_by, sort_by, bucket_key)
             return
         delta = f"{table}__delta"
         self.write(delta, source)
@@ -130,20 +175,12 @@ class Warehouse:
             marked = keep_stamps(rows.withColumn(STAMP, F.lit(None).cast("timestamp_ntz")), target, key)
             fresh = marked.where(F.col(STAMP).isNull()).select(F.col(key).alias("__fresh"))
             rows = rows.join(fresh, rows[key].eqNullSafe(fresh["__fresh"]), "left_semi")
-        if rows.isEmpty():
-            self.drop(delta)
-            return
-        if track is not None:
-            self._track(table, target, rows.select(key), key, track)
-        merge = dict(
-            key=key, loaded_at=loaded_at, touch_on_update=touch_on_update, on_schema_change=on_schema_change
-        )
-        parts = self.partition_columns(table)
-        same_columns = on_schema_change == "ignore" or set(rows.columns) == set(target.columns)
-        if parts and same_columns:
-            self._rewrite_partitions(table, target, rows, key, parts, sort_by, merge)
-        else:
-            self.replace(table, merge_rows(target, rows, **merge), parts or partition_by, sort_by)
+        if not rows.isEmpty():
+
+            def merged(old: DataFrame) -> DataFrame:
+                return merge_rows(old, rows, key, loaded_at, touch_on_update, on_schema_change)
+
+            self._apply(table, rows, rows.select(key), key, merged, on_schema_change, sort_by, track)
         self.drop(delta)
 
     def replace_keys(
@@ -160,29 +197,87 @@ class Warehouse:
         self.recover(table)
         delta, gone = f"{table}__delta", f"{table}__keys"
         self.write(delta, source)
-        self.write(gone, keys.select(F.col(key).alias("__gone")))
-        target, rows, keys = self.read(table), self.read(delta), self.read(gone)
-        if track is not None:
-            self._track(table, target, keys.withColumnRenamed("__gone", key), key, track)
-        target, rows = sync_columns(target, rows, on_schema_change)
-        kept = target.join(keys, target[key] == keys["__gone"], "left_anti")
-        self.replace(table, kept.unionByName(rows), self.partition_columns(table))
+        self.write(gone, keys.select(key))
+        rows, keys = self.read(delta), self.read(gone)
+
+        def replaced(old: DataFrame) -> DataFrame:
+            old, new = sync_columns(old, rows, on_schema_change)
+            return old.join(keys.select(F.col(key).alias("__gone")), F.col(key) == F.col("__gone"), "left_anti").unionByName(new)
+
+        self._apply(table, rows, keys, key, replaced, on_schema_change, (), track)
         self.drop(delta)
         self.drop(gone)
 
-    def _track(self, table: str, target: DataFrame, keys: DataFrame, key: str, at: datetime) -> None:
-        side = f"{table}{BEFORE_SUFFIX}"
+    def _apply(
+        self,
+        table: str,
+        rows: DataFrame,
+        keys: DataFrame,
+        key: str,
+        change: Callable[[DataFrame], DataFrame],
+        on_schema_change: str,
+        sort_by: Sequence[str],
+        track: datetime | None,
+    ) -> None:
+        """Bring new rows into a table: ``change`` turns old rows into what replaces them.
+
+        Only partitions that hold one of ``keys`` or receive a row are read as old rows and rewritten.
+        """
+        stored, cut = self.spark.table(table), self.bucketing(table)
+        parts = self.partition_columns(table)
         wanted = keys.select(F.col(key).alias("__key"))
-        before = target.join(wanted, target[key] == wanted["__key"], "left_semi").withColumn(REPLACED_AT, stamp(at))
+        found = stored.join(wanted, F.col(key) == F.col("__key"), "left_semi")
+        same_columns = on_schema_change == "ignore" or set(rows.columns) == set(stored.columns) - {BUCKET}
+        if not parts or not same_columns:
+            if track is not None:
+                self._track(table, found, track)
+            self.replace(table, change(stored.drop(BUCKET)), [] if cut else parts, sort_by)
+            return
+        if cut:
+            # The key's hash says where its rows are; the target need not be searched.
+            touched = in_buckets(keys.select(key), *cut) if cut[1] == key else in_buckets(rows, *cut)
+            touched = touched.select(BUCKET)
+        else:
+            touched = found.select(*parts).unionByName(rows.select(*parts))
+        scratch = f"{table}__touched"
+        self.write(scratch, touched.distinct().select(*[F.col(p).alias(f"__{p}") for p in parts]))
+        touched = self.spark.table(scratch)
+        inside = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"__{p}")) for p in parts])
+        old = stored.join(touched, inside, "left_semi")
+        if track is not None:
+            self._track(table, old.join(wanted, F.col(key) == F.col("__key"), "left_semi"), track)
+        new = change(old.drop(BUCKET))
+        if cut:
+            new = in_buckets(new, *cut)
+        self.write(f"{table}__next", new, parts, sort_by)
+        new = self.spark.table(f"{table}__next").select(*stored.columns)
+        clustered = new.sortWithinPartitions(*parts, *[c for c in sort_by if c not in parts])
+        clustered.write.mode("overwrite").insertInto(table)
+        # A partition that has lost all its rows is not among the new ones, so it goes by name.
+        emptied = touched.join(new.select(*parts).distinct(), inside, "left_anti")
+        for row in emptied.toLocalIterator():
+            values = [f"{p} = {'NULL' if row[f'__{p}'] is None else repr(str(row[f'__{p}']))}" for p in parts]
+            self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({', '.join(values)})")
+        self.drop(f"{table}__next")
+        self.drop(scratch)
+
+    def _track(self, table: str, before: DataFrame, at: datetime) -> None:
+        side = f"{table}{BEFORE_SUFFIX}"
+        before = before.drop(BUCKET).withColumn(REPLACED_AT, stamp(at))
         if self.exists(side):
             known = self.read(side)
             if set(known.columns) != set(before.columns):
-                before = known.unionByName(before, allowMissingColumns=True)
-                self.replace(side, before)
+                self.replace(side, known.unionByName(before, allowMissingColumns=True))
                 return
             before = before.select(*known.columns)
         before.write.mode("append").format("parquet").saveAsTable(side)
 
+    def forget(self, table: str, until: datetime) -> None:
+        """Drop tracked row versions that every reader has taken in."""
+        side = f"{table}{BEFORE_SUFFIX}"
+        if self.exists(side):
+            self.replace(side, self.read(side).where(F.col(REPLACED_AT) > stamp(until)))
+
     def changed_since(self, table: str, column: str, bound) -> DataFrame:
         """Row versions newer than a bound, with the versions they replaced."""
         now = self.read(table)
@@ -193,31 +288,9 @@ class Warehouse:
         old = self.read(side).where(F.col(REPLACED_AT) > bound).drop(REPLACED_AT)
         return new.unionByName(old.select(*[c for c in old.columns if c in now.columns]), allowMissingColumns=True)
 
-    def _rewrite_partitions(self, table, target, rows, key, parts, sort_by, merge) -> None:
-        """Rewrite the partitions that hold a matched key or receive a row; leave the others alone."""
-        found = rows.select(F.col(key).alias("__key"))
-        touched = (
-            target.join(found, target[key] == found["__key"], "left_semi").select(*parts)
-            .unionByName(rows.select(*parts)).distinct()
-            .select(*[F.col(p).alias(f"__{p}") for p in parts])
-        )
-        inside = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"__{p}")) for p in parts])
-        self.write(f"{table}__touched", touched)
-        touched = self.read(f"{table}__touched")
-        old = target.join(touched, inside, "left_semi")
-        self.write(f"{table}__next", merge_rows(old, rows, **merge), parts, sort_by)
-        new = self.read(f"{table}__next").select(*target.columns)
-        new = new.sortWithinPartitions(*parts, *[c for c in sort_by if c not in parts])
-        new.write.mode("overwrite").insertInto(table)
-        # A partition all of whose rows moved elsewhere is not in the new rows, so it goes by name.
-        left = touched.join(new.select(*parts).distinct(), inside, "left_anti")
-        for row in left.toLocalIterator():
-            values = ", ".join(
-                f"{p} = {'NULL' if row[f'__{p}'] is None else repr(str(row[f'__{p}']))}" for p in parts
-            )
-            self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({values})")
-        self.drop(f"{table}__next")
-        self.drop(f"{table}__touched")
+
+def in_buckets(df: DataFrame, n: int, key: str) -> DataFrame:
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(n)).cast("int"))
 
 
 def publish(

@@ -40,7 +40,7 @@ def run_model(
     inputs = read_inputs(warehouse, spec)
     exact = delta == "affected_keys"
     if not warehouse.exists(spec.table):
-        warehouse.replace(spec.table, spec.build(**inputs, as_of=as_of))
+        warehouse.replace(spec.table, spec.build(**inputs, as_of=as_of), bucket_key=spec.driver_key)
         return
     target = warehouse.read(spec.table)
     if spec.materialized == "table":

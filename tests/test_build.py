@@ -28,7 +28,7 @@ def values(df):
 
 
 def test_two_batches_by_affected_keys(spark, databases):
-    w = databases
+    w = Warehouse(spark, buckets=3)
     load(w, random_tables(5, LOAD1), LOAD1)
     assert build_all(w, RUN1)[:1] == ["staging.account"]
     first = {t: w.read(MODELS_BY_REF[t].table).count() for t in TABLES}

@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from leadmill.operators.tables import publish
+from leadmill.operators.tables import BUCKET, Warehouse, publish
 from leadmill.operators.upsert import DuplicateKeyError, keep_stamps, merge_rows
 from leadmill.registry import ENTITIES, STAMP
 
@@ -45,6 +45,38 @@ def test_upsert(spark, databases, parts):
         assert {r[0] for r in w.read("raw.t").select("p").distinct().collect()} == {"x", "w", "z"}
 
 
+def test_tables_cut_by_key(spark, databases):
+    w = Warehouse(spark, buckets=4)
+    data = [(i, f"v{i}", i % 5) for i in range(40)]
+    w.upsert("raw.t", frame(spark, data, "k int, v string, d int"), "k", bucket_key="k")
+    assert w.partition_columns("raw.t") == [BUCKET] and w.read("raw.t").columns == ["k", "v", "d"]
+    assert w.bucketing("raw.t") == (4, "k")
+    files = lambda: {tuple(r) for r in spark.table("raw.t").select(BUCKET, "_metadata.file_path").distinct().collect()}
+    before = files()
+    w.upsert("raw.t", frame(spark, [(7, "new", 1)], "k int, v string, d int"), "k")
+    rewritten = {b for b, _ in files() - before}
+    assert len(rewritten) == 1 and w.read("raw.t").where("k = 7").first()["v"] == "new"
+    keys = frame(spark, [(8,), (9,), (99,)], "k int")
+    w.replace_keys("raw.t", frame(spark, [(8, "a", 0), (8, "b", 0)], "k int, v string, d int"), keys, "k")
+    assert rows(w.read("raw.t").where("k in (8, 9)").select("v")) == [("a",), ("b",)]
+    assert w.read("raw.t").count() == 40
+    w.upsert("raw.t", frame(spark, [(1, 2)], "k int, extra int"), "k", on_schema_change="sync_all_columns")
+    assert w.read("raw.t").columns == ["k", "extra"] and w.bucketing("raw.t") == (4, "k")
+    w.replace_keys("raw.t", frame(spark, [], "k int, extra int"), w.read("raw.t").select("k").distinct(), "k")
+    assert w.read("raw.t").count() == 0 and spark.table("raw.t").select(BUCKET).distinct().count() == 0
+
+
+def test_forget(spark, databases):
+    w = databases
+    ddl = f"k int, v string, {STAMP} timestamp_ntz"
+    w.upsert("raw.t", frame(spark, [(1, "a", DAY1)], ddl), "k")
+    w.upsert("raw.t", frame(spark, [(1, "b", DAY2)], ddl), "k", track=DAY2)
+    w.forget("raw.t", DAY1)
+    assert w.read("raw.t__before").count() == 1
+    w.forget("raw.t", DAY2)
+    assert w.read("raw.t__before").count() == 0
+
+
 def test_untouched_partitions_are_left_alone(spark, databases):
     w = databases
     w.upsert("raw.t", frame(spark, [(1, "a", "x"), (2, "b", "y")]), "k", partition_by=("p",))
