@@ -118,34 +118,54 @@ def range_join(
     return left.join(hits, left[left_key].eqNullSafe(hits["__key"]), "left").drop("__key")
 
 
+def one_to_many(one: DataFrame, many: DataFrame, on: str, many_keys: DataFrame | None = None) -> DataFrame:
+    """Rows of ``one`` (unique on the key) with all their rows of ``many``, or with none: a left join.
+
+    The matches are joined as an inner join with ``many`` as the long side, so that Spark can split a hot
+    key's rows, which it cannot do on the right of a left join. ``many_keys`` may name a cheaper frame
+    with the keys of ``many``.
+    """
+    keys = many if many_keys is None else many_keys
+    found = keys.select(F.col(on).alias("__key")).distinct()
+    matched = many.join(one, on, "inner")
+    lonely = one.join(found, one[on] == found["__key"], "left_anti")
+    return matched.unionByName(lonely, allowMissingColumns=True)
+
+
 def fanout_left_join(
     left: DataFrame,
     right: DataFrame,
     on: str,
-    split_rows: int = 4096,
+    parts: int = 1000,
+    min_rows: int = 100_000,
     left_rows: DataFrame | None = None,
-    right_rows: DataFrame | None = None,
 ) -> DataFrame:
     """N:M left join on one column that stays balanced when a key is hot on either side.
 
-    Keys with more than ``split_rows`` rows on a side are cut into a grid: the left rows into ``a``
-    parts, the right rows into ``b`` parts, and every part of one side meets every part of the other
-    in a task of its own. Each pair of rows meets in exactly one cell. Other keys join as usual. The
-    list of hot keys has at most (rows of both sides) / ``split_rows`` entries, and Spark decides by
-    its size whether to broadcast it.
+    A key is hot where it holds more than one ``parts``-th of a side's rows (and more than ``min_rows``).
+    Its rows are cut into a grid: the left ones into ``a`` parts, the right ones into ``b`` parts, and
+    every part of one side meets every part of the other in a cell of its own. Each pair of rows meets in
+    exactly one cell. Other keys join as usual. By definition there are at most ``2 * parts`` hot keys,
+    so their list is broadcast.
 
-    ``left_rows`` and ``right_rows`` may name cheaper frames with the same keys, whose rows per key stand
-    in for those of the sides.
+    ``left_rows`` may name a cheaper frame whose rows per key stand in for those of ``left``.
     """
-    count = lambda df, name: (
-        df.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias(name))
-    )
-    parts = lambda n: F.ceil(F.col(n) / split_rows).cast("int")
+
+    def sizes(df: DataFrame, name: str) -> tuple[DataFrame, Column]:
+        counts = df.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias(name))
+        total = counts.agg(F.coalesce(F.sum(name), F.lit(0)).alias("n")).scalar()
+        return counts, F.greatest(F.lit(min_rows), F.ceil(total / F.lit(parts)))
+
+    n_left, left_limit = sizes(left if left_rows is None else left_rows, "__n_left")
+    n_right, right_limit = sizes(right, "__n_right")
     hot = (
-        count(left if left_rows is None else left_rows, "__n_left")
-        .join(count(right if right_rows is None else right_rows, "__n_right"), on)
-        .where((F.col("__n_left") > split_rows) | (F.col("__n_right") > split_rows))
-        .select(F.col(on).alias("__hot"), parts("__n_left").alias("__a"), parts("__n_right").alias("__b"))
+        n_left.join(n_right, on, "left")
+        .select(
+            F.col(on).alias("__hot"),
+            F.ceil(F.col("__n_left") / left_limit).cast("int").alias("__a"),
+            F.coalesce(F.ceil(F.col("__n_right") / right_limit).cast("int"), F.lit(1)).alias("__b"),
+        )
+        .where("__a > 1 OR __b > 1")
     )
 
     def cells(df: DataFrame, own: str, other: str) -> tuple[Column, Column]:
@@ -154,11 +174,11 @@ def fanout_left_join(
         return F.coalesce(own_part, F.lit(0)), other_parts
 
     own, others = cells(left, "__a", "__b")
-    l = left.join(hot, left[on] == hot["__hot"], "left").select(
-        *left.columns, "__hot", own.alias("__left_a"), others.alias("__left_b")
+    l = left.join(F.broadcast(hot), left[on] == hot["__hot"], "left").select(
+        *left.columns, "__b", own.alias("__left_a"), others.alias("__left_b")
     )
     own, others = cells(right, "__b", "__a")
-    r = right.join(hot, right[on] == hot["__hot"], "left").select(
+    r = right.join(F.broadcast(hot), right[on] == hot["__hot"], "left").select(
         F.col(on).alias("__right_key"), *[c for c in right.columns if c != on],
         own.alias("__right_b"), others.alias("__right_a"),
     )
@@ -167,6 +187,7 @@ def fanout_left_join(
         & (F.col("__left_a") == F.col("__right_a"))
         & (F.col("__left_b") == F.col("__right_b"))
     )
-    # A hot key always has right rows, so an empty cell of its grid is not an unmatched left row.
-    kept = l.join(r, same_cell, "left").where(F.col("__right_key").isNotNull() | F.col("__hot").isNull())
+    # Where the right rows of a key are cut, there are some, so a cell without any is no unmatched row.
+    matched = F.col("__right_key").isNotNull()
+    kept = l.join(r, same_cell, "left").where(matched | (F.coalesce("__b", F.lit(1)) == 1))
     return kept.select(*left.columns, *[c for c in right.columns if c != on])

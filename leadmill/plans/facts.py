@@ -17,7 +17,7 @@ from leadmill.functions import (
     zero_safe_ratio,
 )
 from leadmill.functions.times import day
-from leadmill.operators.joins import days_between, disjunctive_pairs, fanout_left_join
+from leadmill.operators.joins import days_between, disjunctive_pairs, fanout_left_join, one_to_many
 from leadmill.plans.dimensions import lookup, stamped
 from leadmill.registry import STAMP
 
@@ -61,10 +61,10 @@ def fact_marketing_performance(
         "send_id", "known_send", *[c for c in sends.columns if c != "send_id"],
         F.col("known_send").alias("sent_id"),
     )
-    base = lookup(base, contacts, "contact_id", "known_contact", *contacts.columns)
+    people = one_to_many(contacts, leads.withColumnRenamed("converted_contact_id", "known_contact"), "known_contact")
     base = fanout_left_join(
-        base, leads.withColumnRenamed("converted_contact_id", "known_contact"), "known_contact",
-        left_rows=email_engagement.select(F.col("contact_id").alias("known_contact")),
+        base, people.withColumn("contact_id", F.col("known_contact")), "contact_id",
+        left_rows=email_engagement.select("contact_id"),
     )
 
     touched = lookup(
@@ -233,27 +233,24 @@ def fct_daily_performance(
     camp = lookup(camp, days, "campaign_id", "campaign_id", "days")
 
     members = dim_campaign_member_engagement.select(
-        "member_sk", "campaign_id", F.col("contact_id").alias("__member_contact"),
-        "total_engagements", "email_opens", "event_attendances",
+        "member_sk", "campaign_id", "contact_id", "total_engagements", "email_opens", "event_attendances"
     )
-    members = lookup(
-        members, dim_contact_engagement, "__member_contact", "contact_id", "contact_sk",
-        F.col("contact_id").alias("__contact"),
-    ).drop("__member_contact")
-    leads = dim_lead_conversion.select(
-        "lead_sk", "is_converted", "days_to_convert", F.col("converted_contact_id").alias("__contact")
+    people = one_to_many(
+        dim_contact_engagement.select("contact_id", "contact_sk"),
+        dim_lead_conversion.select(
+            "lead_sk", "is_converted", "days_to_convert", F.col("converted_contact_id").alias("contact_id")
+        ),
+        "contact_id",
     )
     members = fanout_left_join(
-        members, leads, "__contact",
-        left_rows=dim_campaign_member_engagement.select(F.col("contact_id").alias("__contact")),
-    ).drop("__contact")
+        members, people, "contact_id",
+        left_rows=dim_campaign_member_engagement.select("contact_id"),
+    ).drop("contact_id")
     opps = dim_opportunity_performance.select(
         "opportunity_sk", F.col("amount").alias("opportunity_amount"), "days_open", "is_won", "campaign_id"
     )
     per_campaign = dim_campaign_member_engagement.select("campaign_id")
-    rows = fanout_left_join(
-        camp, members, "campaign_id", left_rows=dim_campaign.select("campaign_id"), right_rows=per_campaign
-    )
+    rows = one_to_many(camp, members, "campaign_id", many_keys=per_campaign)
     rows = fanout_left_join(rows, opps, "campaign_id", left_rows=per_campaign)
     rows = rows.withColumn("date_key", F.explode_outer("days"))
     out = rows.select(

@@ -303,14 +303,14 @@ def table_results(t: Tables) -> DataFrame:
     def millis(c: Column) -> Column:
         return F.unix_date(F.to_date(c)).cast("bigint") * 86_400_000
 
-    def one(name: str) -> DataFrame:
-        per_day = t(f"raw.{name}").groupBy(STAMP).agg(F.count(F.lit(1)))
-        return per_day.agg(
-            F.lit(name).alias("table"), F.count(STAMP).alias("new_files"),
-            millis(F.min(STAMP)).alias("first_ms"), millis(F.max(STAMP)).alias("last_ms"),
-        )
-
-    return reduce(DataFrame.unionByName, [one(n) for n in ENTITIES])
+    loads = reduce(
+        DataFrame.unionByName, [t(f"raw.{n}").select(F.lit(n).alias("table"), STAMP) for n in ENTITIES]
+    )
+    return loads.groupBy("table", STAMP).agg(F.count(F.lit(1))).groupBy("table").agg(
+        F.count(STAMP).alias("new_files"),
+        millis(F.min(STAMP)).alias("first_ms"),
+        millis(F.max(STAMP)).alias("last_ms"),
+    )
 
 
 @register(
@@ -588,10 +588,10 @@ def theta_join(t: Tables) -> DataFrame:
        FROM raw_campaign_member m LEFT JOIN raw_opportunity o ON o.account_id = m.contact_id""",
 )
 def fanout(t: Tables) -> DataFrame:
-    """Members with all opportunities of their contact; contacts with more than eight rows are split."""
+    """Members with all opportunities of their contact; contacts with many rows are split."""
     opps = t("raw.opportunity").select(F.col("account_id").alias("contact_id"), "opportunity_id", "amount")
     members = t("raw.campaign_member").select("member_id", "contact_id")
-    return fanout_left_join(members, opps, "contact_id", split_rows=8)
+    return fanout_left_join(members, opps, "contact_id", parts=20, min_rows=8)
 
 
 # --- aggregation and quality -------------------------------------------------------------------

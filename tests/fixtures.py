@@ -26,9 +26,10 @@ def random_row(rnd: random.Random, entity: str, i: int, stamped: datetime) -> tu
         if name == spec.key:
             return str(i)
         if name in REFERENCES:
-            # A third of all rows point at id 0, some at nothing, some at ids that do not exist.
+            # A third of all rows point at id 0, some at nothing, some at ids that do not exist; one of
+            # those is popular too.
             n = ROWS[REFERENCES[name]]
-            return rnd.choice([None, "0", "0", str(rnd.randrange(n)), str(rnd.randrange(n + 3))])
+            return rnd.choice([None, "0", "0", str(rnd.randrange(n)), str(rnd.randrange(n + 3)), str(n + 9)])
         if name == "campaign_name":
             return str(i)
         if name == "engagement_type":

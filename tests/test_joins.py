@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from leadmill.functions import first_whole_day
 from leadmill.operators.aggregates import conditional_distinct
-from leadmill.operators.joins import disjunctive_left_join, fanout_left_join, range_join
+from leadmill.operators.joins import disjunctive_left_join, fanout_left_join, one_to_many, range_join
 
 from conftest import same_rows
 
@@ -61,22 +61,38 @@ def test_interval(sides, days):
     assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("split", [1, 3, 1000])
-def test_fanout(sides, split):
+@pytest.mark.parametrize("parts, min_rows", [(1000, 1), (4, 1), (2, 1), (1000, 3), (1000, 10_000)])
+def test_fanout(sides, parts, min_rows):
     a, b = sides
     right = b.select(F.col("rc").alias("c"), "rid", "rt")
     plain = a.join(right, "c", "left")
-    same_rows(fanout_left_join(a, right, "c", split_rows=split), plain)
+    same_rows(fanout_left_join(a, right, "c", parts, min_rows), plain)
+
+
+def test_fanout_keeps_unmatched_hot_keys(spark, sides):
+    a, b = sides
+    right = b.select(F.col("rc").alias("c"), "rid").where("c <> '0'")
+    same_rows(fanout_left_join(a, right, "c", 10, 1), a.join(right, "c", "left"))
+    everywhere = a.select("c").unionByName(right.select("c"))
+    same_rows(fanout_left_join(a, right, "c", 10, 1, left_rows=everywhere), a.join(right, "c", "left"))
 
 
 def test_fanout_splits_a_hot_key(spark):
     a = spark.range(400).select(F.lit("hot").alias("k"), F.col("id").alias("x"))
     b = spark.range(300).select(F.lit("hot").alias("k"), F.col("id").alias("y"))
-    cells = fanout_left_join(a, b, "k", split_rows=50)
+    cells = fanout_left_join(a, b, "k", parts=8, min_rows=10)
     assert cells.count() == 400 * 300
     assert cells.select("x", "y").distinct().count() == 400 * 300
 
 
+def test_one_to_many(sides, spark):
+    _, b = sides
+    one = spark.createDataFrame([("0", "x"), ("1", "y"), ("9", None), (None, "z")], "rc string, v string")
+    plain = one.join(b, "rc", "left")
+    same_rows(one_to_many(one, b, "rc"), plain)
+    same_rows(one_to_many(one, b, "rc", many_keys=b.select("rc")), plain)
+
+
 @pytest.fixture(scope="module")
 def ranges(spark):
     data = [

@@ -33,14 +33,15 @@ def test_model(world, ref, tmp_path):
     compare(con, derive(ref, raw, AS_OF, memo), sql, str(tmp_path / "out"))
 
 
-def test_daily_performance_with_split_keys(world, tmp_path, monkeypatch):
+@pytest.mark.parametrize("model", ["fct_daily_performance", "fact_marketing_performance"])
+def test_facts_with_split_keys(world, model, tmp_path, monkeypatch):
     raw, con, _ = world
     plain = facts.fanout_left_join
     monkeypatch.setattr(
-        facts, "fanout_left_join", lambda *args, **kw: plain(*args, **{**kw, "split_rows": 3})
+        facts, "fanout_left_join", lambda *args, **kw: plain(*args, **{**kw, "parts": 5, "min_rows": 2})
     )
-    sql = with_ctes("SELECT * FROM fct_daily_performance", {f"raw_{e}": f"SELECT * FROM fixture_{e}" for e in raw})
-    compare(con, derive("marketing.fct_daily_performance", raw, AS_OF), sql, str(tmp_path / "out"))
+    sql = with_ctes(f"SELECT * FROM {model}", {f"raw_{e}": f"SELECT * FROM fixture_{e}" for e in raw})
+    compare(con, derive(f"marketing.{model}", raw, AS_OF), sql, str(tmp_path / "out"))
 
 
 def test_build_order():
