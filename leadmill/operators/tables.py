@@ -302,8 +302,13 @@ def publish(
     loaded_at: datetime | None = None,
     **upsert_options,
 ) -> str:
-    """Write a conformed entity into its partitioned lake table; ``mode`` is replace or upsert."""
+    """Write a conformed entity into its partitioned lake table; ``mode`` is replace or upsert.
+
+    Without rows nothing is written.
+    """
     table = f"{database}.{spec.name}"
+    if df.isEmpty():
+        return table
     df = with_partitions(spec, df)
     layout = dict(partition_by=spec.partition_columns, sort_by=spec.sort)
     if mode == "replace":

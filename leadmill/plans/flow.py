@@ -6,16 +6,16 @@ import logging
 from collections.abc import Sequence
 from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from leadmill.functions import parse_batch_id
-from leadmill.operators.conform import clean, conform, dedupe_by_key
+from leadmill.functions import parse_batch_id, stamp
+from leadmill.operators.conform import SchemaReport, clean, conform, dedupe_by_key, lower_names, schema_report
 from leadmill.operators.quality import run_summary
 from leadmill.operators.rejects import load_rejects
 from leadmill.operators.tables import Warehouse, publish
 from leadmill.operators.watermarks import advance, empty_state
 from leadmill.registry import ENTITIES, EntitySpec
-from leadmill.sources.batches import list_files, newer_batches, read_entity
+from leadmill.sources.batches import list_files, newer_batches, read_entity, silent_batches
 
 STATE_TABLE = "raw.load_state"
 REJECT_TABLE = "raw.load_errors"
@@ -46,6 +46,29 @@ def write_clean_batches(spec: EntitySpec, raw: DataFrame, out_dir: str) -> None:
     )
 
 
+def clean_all(
+    spark: SparkSession,
+    root: str,
+    out_dir: str,
+    after: str | None = None,
+    entities: Sequence[str] = tuple(ENTITIES),
+) -> tuple[list[SchemaReport], str | None]:
+    """Clean the new batches of every entity; returns the schema reports and the newest batch id.
+
+    All batches of an entity are one job. An error ends the run, and the caller keeps its watermark.
+    """
+    reports, newest = [], after
+    for name in entities:
+        spec, raw = ENTITIES[name], read_entity(spark, root, name, after)
+        found = lower_names(raw.drop("batch_id", "file_path"))
+        reports.append(schema_report(name, list(spec.fields), found))
+        write_clean_batches(spec, raw, out_dir)
+        last = newer_batches(list_files(spark, root, name), after)
+        last = last.where(parse_batch_id(F.col("batch_id")).isNotNull()).agg(F.max("batch_id")).first()[0]
+        newest = max(filter(None, (newest, last)), default=None)
+    return reports, newest
+
+
 def newest_rows(spec: EntitySpec, df: DataFrame) -> DataFrame:
     """A key that several batches bring along counts in its latest version."""
     return dedupe_by_key(df, spec.key, [F.col("batch_id").desc(), F.col("file_path").desc()])
@@ -53,14 +76,21 @@ def newest_rows(spec: EntitySpec, df: DataFrame) -> DataFrame:
 
 def record_rejects(warehouse: Warehouse, rejects: DataFrame) -> None:
     """Add rejects to their table; loading a batch again replaces the lines it left there."""
-    columns = [c for c in rejects.columns if c not in ("entity", "batch_id")]
-    rejects = rejects.select(*columns, "entity", "batch_id")
+    rejects = rejects.select("file_path", "message", "count", "load_timestamp", "entity", "batch_id")
     if warehouse.exists(REJECT_TABLE):
         rejects.write.mode("overwrite").insertInto(REJECT_TABLE)
     else:
         warehouse.write(REJECT_TABLE, rejects, ["entity", "batch_id"])
 
 
+def unread(entity: str, files: DataFrame, raw: DataFrame, loaded_at: datetime) -> DataFrame:
+    """Reject lines for files that gave no row at all."""
+    return silent_batches(files, raw).select(
+        F.lit(entity).alias("entity"), "file_path", "batch_id", F.lit("no readable rows").alias("message"),
+        F.lit(1).cast("bigint").alias("count"), stamp(loaded_at).alias("load_timestamp"),
+    )
+
+
 def load_batch(
     warehouse: Warehouse,
     spec: EntitySpec,
@@ -97,11 +127,13 @@ def load_all(
     loaded_at: datetime,
     mode: str = "upsert",
     entities: Sequence[str] = tuple(ENTITIES),
+    skip_corrupt: bool = False,
     **upsert_options,
 ) -> tuple[DataFrame, DataFrame]:
     """Load the new batches of every entity; returns the result per table and the summary.
 
-    A table that fails is reported and keeps its watermark, so that its batches are due again.
+    A table that fails is reported and keeps its watermark, so that its batches are due again. With
+    ``skip_corrupt`` an unreadable file does not fail its table; it is listed among the rejects.
     """
     spark = warehouse.spark
     results = []
@@ -114,7 +146,9 @@ def load_all(
                 F.count(F.lit(1)), F.max("batch_ms"), F.min("batch_id")
             ).first()
             if found:
-                raw = read_entity(spark, root, name).where(F.col("batch_id") >= first)
+                raw = read_entity(spark, root, name, skip_corrupt=skip_corrupt).where(F.col("batch_id") >= first)
+                if skip_corrupt:
+                    record_rejects(warehouse, unread(name, files, raw, loaded_at))
                 load_batch(warehouse, spec, raw, loaded_at, mode, **upsert_options)
             results.append((name, "success", found, "success" if found else "skipped", found, newest, None))
         except Exception as error:  # noqa: BLE001 - reported per table, the other tables go on

@@ -29,10 +29,15 @@ class Link:
     via: str | None = None
 
 
+def schema_name(custom: str | None, target: str) -> str:
+    """A model's database: its own, taken as it is, or the target's."""
+    return custom.strip() if custom else target
+
+
 @dataclass(frozen=True)
 class ModelSpec:
     name: str
-    database: str
+    database: str | None
     build: Callable[..., DataFrame]
     inputs: Mapping[str, str]  # argument of ``build`` -> table it comes from
     key: str | None = None
@@ -50,7 +55,7 @@ class ModelSpec:
 
     @property
     def table(self) -> str:
-        return f"{self.database}.{self.alias or self.name}"
+        return f"{schema_name(self.database, STAGING)}.{self.alias or self.name}"
 
 
 def link(*arms: Mapping[str, str], via: str | None = None) -> Link:

@@ -66,14 +66,34 @@ def newer_batches(df: DataFrame, after: str | None, column: str = "batch_id") ->
 
 
 def read_entity(
-    spark: SparkSession, root: str, entity: str, after: str | None = None, merge_schema: bool = True
+    spark: SparkSession,
+    root: str,
+    entity: str,
+    after: str | None = None,
+    merge_schema: bool = True,
+    skip_corrupt: bool = False,
 ) -> DataFrame:
     """All valid batches of one entity in a single scan, with ``batch_id`` and ``file_path``.
 
-    The bound on the batch applies to file names, so older files are not opened.
+    The bound on the batch applies to file names, so older files are not opened. ``skip_corrupt`` reads
+    past unreadable files; ``silent_batches`` finds out which these were.
     """
-    df = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(entity_glob(root, entity))
+    reader = spark.read.option("mergeSchema", str(merge_schema).lower())
+    if skip_corrupt:
+        reader = reader.option("ignoreCorruptFiles", "true")
+    df = reader.parquet(entity_glob(root, entity))
     path = F.col("_metadata.file_path")
     df = df.select("*", batch_id_of(path).alias("batch_id"), path.alias("file_path"))
     df = df.where(parse_batch_id(F.col("batch_id")).isNotNull())
     return newer_batches(df, after)
+
+
+def silent_batches(files: DataFrame, rows: DataFrame) -> DataFrame:
+    """Files of batches from which no row was read."""
+    seen = rows.select(F.col("batch_id").alias("__seen")).distinct()
+    return files.join(seen, F.col("batch_id") == F.col("__seen"), "left_anti")
+
+
+def read_cleaned(spark: SparkSession, out_dir: str, entity: str, after: str | None = None) -> DataFrame:
+    """Cleaned batches of one entity; older batches are pruned as partitions."""
+    return newer_batches(spark.read.parquet(f"{out_dir.rstrip('/')}/{entity}"), after)

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from leadmill.operators.rejects import write_reject_log
-from leadmill.plans.flow import load_all, read_state, watermark_of, write_clean_batches
+from leadmill.plans.flow import clean_all, load_all, read_state, watermark_of, write_clean_batches
 from leadmill.registry import ENTITIES, STAMP
-from leadmill.sources.batches import added_files, change_summary, discover_batches, list_files, read_entity
+from leadmill.sources.batches import added_files, change_summary, discover_batches, list_files, read_cleaned, read_entity
 from leadmill.streaming.ingest import ingest
 
 B1, B2, B3 = "2025-05-31_123456", "2025-06-01_000000", "2025-06-02_000000"
@@ -105,6 +105,30 @@ def test_unset_times_are_dropped(spark, databases, tmp_path):
     assert [r[0] for r in state_of(w)] == ["2"]
 
 
+def test_corrupt_files_are_listed(spark, databases, landing):
+    w = databases
+    (landing / B3).mkdir()
+    (landing / B3 / "opportunity.parquet").write_bytes(b"not parquet at all, but long enough to look")
+    results, _ = load_all(w, str(landing), AT1, entities=("opportunity",))
+    assert results.first()["status"] == "error" and watermark_of(w, "opportunity") is None
+    results, _ = load_all(w, str(landing), AT1, entities=("opportunity",), skip_corrupt=True)
+    assert results.first()["status"] == "success" and len(state_of(w)) == 3
+    errors = rows(w.read("raw.load_errors").select("message", "batch_id"))
+    assert errors == [("cannot read amount as decimal(15,2)", B2), ("no readable rows", B3)]
+
+
+def test_clean_all(spark, landing, tmp_path):
+    out = str(tmp_path / "out")
+    reports, newest = clean_all(spark, str(landing), out, entities=("opportunity",))
+    assert [r.ok for r in reports] == [True] and newest == B2
+    land(landing, B3, {"1": "11.00"}, EXTRA="x")
+    reports, newest = clean_all(spark, str(landing), out, after=newest, entities=("opportunity",))
+    assert reports[0].extra == ["extra"] and newest == B3
+    got = read_cleaned(spark, out, "opportunity")
+    assert rows(got.groupBy("batch_id").count()) == [(B1, 2), (B2, 2), (B3, 1)]
+    assert rows(read_cleaned(spark, out, "opportunity", B2).select("batch_id")) == [(B3,)]
+
+
 def test_stream_equals_batch(spark, databases, landing, tmp_path):
     w, checkpoint = databases, str(tmp_path / "checkpoint")
     spec = ENTITIES["opportunity"]
