@@ -7,9 +7,8 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-# Batch folder pattern and its time format.
-BATCH_ID_PATTERN = r"^\d{4}-\d{2}-\d{2}_\d{6}$"
-BATCH_ID_FORMAT = "yyyy-MM-dd_HHmmss"
+# Fixed value: batch folders are named YYYY-MM-DD_HHMMSS.
+BATCH_ID_PATTERN = r"^(\d{4}-\d{2}-\d{2})_(\d{2})(\d{2})(\d{2})$"
 
 
 def is_time_type(dtype: T.DataType) -> bool:
@@ -37,8 +36,8 @@ def epoch_ns_to_ts(ns: Column) -> Column:
 
 def parse_batch_id(batch_id: Column) -> Column:
     """Batch folder name to its time; NULL for names of another form and for impossible dates."""
-    parsed = F.try_to_timestamp(batch_id, F.lit(BATCH_ID_FORMAT)).cast("timestamp_ntz")
-    return F.when(batch_id.rlike(BATCH_ID_PATTERN), parsed)
+    text = F.regexp_replace(batch_id, BATCH_ID_PATTERN, "$1 $2:$3:$4")
+    return F.when(batch_id.rlike(BATCH_ID_PATTERN), text.try_cast("timestamp_ntz"))
 
 
 def day_diff(end: Column, start: Column) -> Column:

@@ -70,8 +70,13 @@ def conform(spec: EntitySpec, df: DataFrame, scrub: bool = False, keep_extra: bo
 
 def with_partitions(spec: EntitySpec, df: DataFrame) -> DataFrame:
     """Add the derived partition columns: dates at the start of their year, month or day."""
+    starts = {
+        "year": lambda d: F.trunc(d, "year"),
+        "month": lambda d: F.trunc(d, "month"),
+        "day": lambda d: d,
+    }
     derived = {
-        name: F.to_date(F.date_trunc(unit, F.col(source)))
+        name: starts[unit](F.to_date(source))
         for name, (source, unit) in spec.partitions.items()
         if unit != "value"
     }

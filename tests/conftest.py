@@ -29,13 +29,22 @@ def spark(tmp_path_factory):
 
 
 @pytest.fixture
-def databases(spark, request):
-    """Three databases of the test's own, and a warehouse over them."""
+def databases(spark):
+    """Empty databases and a warehouse over them. Code generation costs more than it saves here."""
     from leadmill.operators.tables import Warehouse
 
     for db in ("raw", "staging", "marketing"):
         spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
-    return Warehouse(spark)
+    off = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"}
+    for key, value in off.items():
+        spark.conf.set(key, value)
+    yield Warehouse(spark)
+    for key in off:
+        spark.conf.unset(key)
+
+
+def tables_in(spark, database):
+    return sorted(r["tableName"] for r in spark.sql(f"SHOW TABLES IN {database}").collect())
 
 
 def rows(df):

@@ -7,7 +7,7 @@ from leadmill.operators.tables import BUCKET, Warehouse, publish
 from leadmill.operators.upsert import DuplicateKeyError, keep_stamps, merge_rows
 from leadmill.registry import ENTITIES, STAMP
 
-from conftest import rows
+from conftest import rows, tables_in
 
 DAY1, DAY2 = datetime(2024, 1, 1), datetime(2024, 1, 2)
 
@@ -40,7 +40,7 @@ def test_upsert(spark, databases, parts):
     assert rows(w.read("raw.t")) == want
     w.upsert("raw.t", frame(spark, [(2, "b2", "z")]), "k", partition_by=parts)
     assert rows(w.read("raw.t").where("k = 2")) == [(2, "b2", "z")]
-    assert [t.name for t in spark.catalog.listTables("raw")] == ["t"]
+    assert tables_in(spark, "raw") == ["t"]
     if parts:
         assert {r[0] for r in w.read("raw.t").select("p").distinct().collect()} == {"x", "w", "z"}
 
