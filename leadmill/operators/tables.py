@@ -53,12 +53,18 @@ class Warehouse:
 
     def bucketing(self, table: str) -> tuple[int, str] | None:
         """Number of parts and the key they hash, for a table that is cut by key."""
-        rows = self.spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
-        found = {r["key"]: r["value"] for r in rows}
+        found = self.properties(table)
         if BUCKETS_PROPERTY not in found:
             return None
         return int(found[BUCKETS_PROPERTY]), found[BUCKET_KEY_PROPERTY]
 
+    def properties(self, table: str) -> dict[str, str]:
+        return {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+    def set_properties(self, table: str, **properties: str) -> None:
+        pairs = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+        self.spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
+
     def drop(self, table: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
 
@@ -114,10 +120,7 @@ class Warehouse:
         else:
             self.write(table, df, partition_by, sort_by)
         if cut:
-            self.spark.sql(
-                f"ALTER TABLE {table} SET TBLPROPERTIES "
-                f"('{BUCKETS_PROPERTY}' = '{cut[0]}', '{BUCKET_KEY_PROPERTY}' = '{cut[1]}')"
-            )
+            self.set_properties(table, **{BUCKETS_PROPERTY: str(cut[0]), BUCKET_KEY_PROPERTY: cut[1]})
 
     def _swap(self, table: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> None:
         if partition_by or self.partition_columns(table):

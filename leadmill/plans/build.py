@@ -13,6 +13,8 @@ from leadmill.operators.watermarks import affected_keys, both_sides, high_water,
 from leadmill.plans.models import LAYERS, MODELS_BY_REF, ModelSpec, build_order
 from leadmill.registry import STAMP
 
+LAST_RUN = "leadmill.last_run"
+
 
 def table_of(ref: str) -> str:
     spec = MODELS_BY_REF.get(ref)
@@ -30,13 +32,18 @@ def run_model(
     delta: str = "affected_keys",
     on_duplicate_key: str = "error",
 ) -> None:
-    """Bring one model's table up to date.
+    """Bring one model's table up to date, and note the run with the table.
 
     The first run builds it in full. After that ``delta`` says how: ``affected_keys`` recomputes the
     rows that any changed input can reach, from whole inputs, and ends where a full build would (a
     calendar that grows backwards needs ``full``);
     ``both_sides`` cuts every input to its new rows before joining; ``full`` recomputes and upserts.
     """
+    _run_model(warehouse, spec, as_of, delta, on_duplicate_key)
+    warehouse.set_properties(spec.table, **{LAST_RUN: as_of.isoformat()})
+
+
+def _run_model(warehouse: Warehouse, spec: ModelSpec, as_of: datetime, delta: str, on_duplicate_key: str) -> None:
     inputs = read_inputs(warehouse, spec)
     exact = delta == "affected_keys"
     if not warehouse.exists(spec.table):
@@ -67,7 +74,9 @@ def run_model(
 def _run_affected(
     warehouse: Warehouse, spec: ModelSpec, inputs: dict[str, DataFrame], target: DataFrame, as_of: datetime
 ) -> None:
-    bound = high_water(target)
+    # The noted run spares a scan of the target for its newest stamp.
+    last_run = warehouse.properties(spec.table).get(LAST_RUN)
+    bound = stamp(datetime.fromisoformat(last_run)) if last_run else high_water(target)
     changed = {
         name: warehouse.changed_since(table_of(spec.inputs[name]), STAMP, bound)
         for name in inputs
