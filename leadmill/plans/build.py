@@ -36,8 +36,8 @@ def run_model(
 
     The first run builds it in full. After that ``delta`` says how: ``affected_keys`` recomputes the
     rows that any changed input can reach, from whole inputs, and ends where a full build would (a
-    calendar that grows backwards needs ``full``);
-    ``both_sides`` cuts every input to its new rows before joining; ``full`` recomputes and upserts.
+    calendar that grows backwards needs ``full``); ``both_sides`` cuts every input to its new rows
+    before joining; ``full`` recomputes and upserts.
     """
     _run_model(warehouse, spec, as_of, delta, on_duplicate_key)
     warehouse.set_properties(spec.table, **{LAST_RUN: as_of.isoformat()})
