@@ -103,3 +103,68 @@ def components(edges: DataFrame) -> DataFrame:
             break
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").cast(kind).alias("node"), F.col("v").alias("root")).unionByName(roots)
+
+
+# Byte by byte: lower-case A-Z; a word is a run of 0-9, a-z and bytes from 80 on.
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_IN_WORD = np.zeros(256, bool)
+_IN_WORD[48:58] = _IN_WORD[65:91] = _IN_WORD[97:123] = _IN_WORD[128:] = True
+_STEP = 0xD6E8FEB86659FD93
+_BACK = pow(_STEP, -1, 1 << 64)
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Spread 64-bit values."""
+    x = x ^ (x >> np.uint64(32))
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xC2B2AE3D27D4EB4F)
+    x ^= x >> np.uint64(32)
+    return x
+
+
+_CODE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[_LOWER]
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    if base not in _POWERS or len(_POWERS[base]) < n:
+        grown = np.full(max(n, 1 << 16), base, np.uint64)
+        grown[0] = 1
+        _POWERS[base] = np.cumprod(grown, dtype=np.uint64)
+    return _POWERS[base][:n]
+
+
+def words(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of several documents (their bytes joined): document, first byte, byte after the last, 64-bit hash."""
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = _IN_WORD[data]
+    edge = inside[1:] != inside[:-1]
+    # a word that runs on from one document into the next is two
+    cut = ends[1:-1]
+    cut = np.unique(cut[(cut > 0) & (cut < len(data))])
+    cut = cut[inside[cut] & inside[cut + 1]]
+    at = np.flatnonzero(edge)
+    start, stop = at[::2], at[1::2]
+    if len(cut):
+        start, stop = np.sort(np.concatenate([start, cut])), np.sort(np.concatenate([stop, cut]))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    if len(data):
+        np.cumsum(_CODE[data] * _powers(_STEP, len(data)), out=sums[1:])
+    code = mixed((sums[stop] - sums[start]) * _powers(_BACK, max(1, len(data)))[start])
+    return np.searchsorted(ends, start, "right") - 1, start, stop, code
+
+
+def grams(doc: np.ndarray, code: np.ndarray, n: int, skip: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """First word and hash of every n words in a row of one document, ``skip`` words left out between them."""
+    step = skip + 1
+    reach = (n - 1) * step
+    if len(code) <= reach:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    m = len(code) - reach
+    out = code[:m] + np.uint64(n * 16 + skip)
+    for k in range(1, n):
+        out = mixed(out) + code[k * step : k * step + m]
+    own = np.flatnonzero(doc[:m] == doc[reach:])
+    return own, mixed(out[own])

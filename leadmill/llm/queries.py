@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from leadmill.llm.common import table
+from leadmill.llm.contamination import contaminated
 from leadmill.llm.simhash import simhash_groups
+from leadmill.llm.suffixes import repeated_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,3 +25,13 @@ def query(fn: Query) -> Query:
 @query
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes(table(spark, sf_dir, "documents")).drop("kept")
