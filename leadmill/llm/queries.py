@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from leadmill.llm.common import table
+from leadmill.llm import toxicity
+from leadmill.llm.common import prepare, table
 from leadmill.llm.contamination import contaminated
+from leadmill.llm.pieces import digests, encode, vocabulary
 from leadmill.llm.simhash import simhash_groups
 from leadmill.llm.suffixes import repeated_bytes
 
@@ -35,3 +38,19 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_bytes(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = vocabulary(prepare(spark))
+    return digests(encode(table(spark, sf_dir, "documents"), known), known)
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    model = toxicity.fit(docs, labels.where(toxicity.remainder(3) != 1))
+    held_out = F.coalesce(toxicity.remainder(3) == 1, F.lit(False)).alias("held_out")
+    predicted = (F.col("score") >= toxicity.CUT).cast("int").alias("predicted")
+    return toxicity.score(docs, model).select("doc_id", held_out, "score", predicted)
