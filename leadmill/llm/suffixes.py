@@ -32,6 +32,8 @@ from leadmill.llm.common import pieces, prepare, written
 LENGTH = 100
 GRAM = 32
 BUCKET_BYTES = 32 << 20
+# A bucket's bytes are compared in so many parts.
+PARTS = 16
 # Bytes of text whose runs a task settles and packs together.
 PACK_BYTES = 8 << 20
 NULL_ID = (1 << 63) - 1
@@ -247,10 +249,11 @@ def _settle(payloads: Iterable[bytes], bucket: int) -> pa.Table:
     ask = head & (kinds[group] > 1) if n else head
     out.append((ids[~same], ties[~same], at[~same], many[~same]))
     settled = _by_document(*(np.concatenate(x) for x in zip(*out)), {"bucket": np.int32(-1)})
-    wanted = _by_document(ids[ask], ties[ask], at[ask], many[ask], {"bucket": np.int32(bucket)})
-    return pa.concat_tables([pa.table(settled), pa.table(wanted)]).cast(
-        pa.schema([("id", pa.int64()), ("tie", pa.int64()), ("runs", pa.binary()), ("bucket", pa.int32())])
-    )
+    tables = [pa.table(settled)]
+    for part in range(PARTS):
+        own = ask & (key % _U(PARTS) == part)
+        tables.append(pa.table(_by_document(ids[own], ties[own], at[own], many[own], {"bucket": np.int32(bucket * PARTS + part)})))
+    return pa.concat_tables(tables)
 
 
 def previous_smaller(values: np.ndarray) -> np.ndarray:
