@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadmill.llm import toxicity
+from leadmill.llm.chat import neighbours, preference_turns
 from leadmill.llm.common import prepare, table
 from leadmill.llm.contamination import contaminated
+from leadmill.llm.hnsw import similar_vectors
+from leadmill.llm.licenses import scan
 from leadmill.llm.pieces import digests, encode, vocabulary
+from leadmill.llm.placement import place
 from leadmill.llm.simhash import simhash_groups
 from leadmill.llm.suffixes import repeated_bytes
 
@@ -54,3 +58,25 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(toxicity.remainder(3) == 1, F.lit(False)).alias("held_out")
     predicted = (F.col("score") >= toxicity.CUT).cast("int").alias("predicted")
     return toxicity.score(docs, model).select("doc_id", held_out, "score", predicted)
+
+
+@query
+def op1_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op6_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest turns' texts are long, so the checksum of a rendered turn stands for it."""
+    parts = preference_turns(*neighbours(table(spark, sf_dir, "conversations")))
+    return parts.select("pair_id", "part", "turn", "role", "loss", F.length("rendered").cast("long").alias("n_chars"), F.md5("rendered").alias("rendered_md5"))
+
+
+@query
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return place(table(spark, sf_dir, "documents"))
