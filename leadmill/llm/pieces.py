@@ -21,6 +21,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -314,30 +315,35 @@ def vocabulary(spark: SparkSession, path: str = MODEL) -> Broadcast:
 
 
 def encode(docs: DataFrame, known: Broadcast, chunk: int = CHUNK) -> DataFrame:
-    """Per row of ``docs``: doc_id and the ids of its whole text (null and empty: none)."""
+    """Per row of ``docs``: doc_id, text_sha256, and the ids of its whole text (null and empty: none).
+
+    Other columns are not looked at; repeated rows are encoded each, an empty table gives no rows.
+    """
     prepare(docs.sparkSession)
     longest = known.value.longest
-    own = texts(docs)
+    own = texts(docs).withColumn("text_sha256", F.sha2("text", 256))
 
     def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = known.value.encoder()
         for rows, values in _some(batches):
             ids, ends = encoder.encode([prefixed(v) for v in values])
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), _lists(ids, ends)], ["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("doc_id"), rows.column("text_sha256"), _lists(ids, ends)], ["doc_id", "text_sha256", "ids"]
+            )
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = known.value.encoder()
         for rows, values in _some(batches):
-            for doc_id, value in zip(rows.column("doc_id").to_pylist(), values):
+            for doc_id, sha, value in zip(rows.column("doc_id").to_pylist(), rows.column("text_sha256").to_pylist(), values):
                 text, key, out = prefixed(value), uuid.uuid4().hex, []
                 cuts = [*range(0, len(text), chunk), len(text)]
                 points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
                 free = [True, *(bool(encoder.cuts(points[c - 1 : c + 1])[0]) for c in cuts[1:-1]), True]
                 for i, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
                     a, b = max(0, lo - longest), min(len(text), hi + longest)
-                    out.append((key, doc_id, i, text[a:b], a, lo - a, hi - a, free[i], free[i + 1]))
-                names = ["key", "doc_id", "part", "text", "origin", "lo", "hi", "free_lo", "free_hi"]
-                kinds = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
+                    out.append((key, doc_id, sha, i, text[a:b], a, lo - a, hi - a, free[i], free[i + 1]))
+                names = ["key", "doc_id", "text_sha256", "part", "text", "origin", "lo", "hi", "free_lo", "free_hi"]
+                kinds = [pa.string(), pa.int64(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
                 for k in range(0, len(out), 64):
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[k : k + 64]), kinds)], names)
 
@@ -379,24 +385,28 @@ def encode(docs: DataFrame, known: Broadcast, chunk: int = CHUNK) -> DataFrame:
             rows = batch.to_pylist()
             ids = [encoder.path(r["text"], r["origin"], r["lo"], r["hi"], tuple(r["way"][:2]), tuple(r["way"][2:])) for r in rows]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("doc_id"), batch.column("part"), pa.array(ids, pa.list_(pa.int32()))],
-                ["key", "doc_id", "part", "ids"],
+                [*(batch.column(c) for c in ("key", "doc_id", "text_sha256", "part")), pa.array(ids, pa.list_(pa.int32()))],
+                ["key", "doc_id", "text_sha256", "part", "ids"],
             )
 
     size = F.char_length("text")
-    short = own.where(size < chunk).mapInArrow(whole, "doc_id long, ids array<int>")
+    short = own.where(size < chunk).mapInArrow(whole, "doc_id long, text_sha256 string, ids array<int>")
     chunks = own.where(size >= chunk).mapInArrow(
-        cut, "key string, doc_id long, part int, text string, origin long, lo long, hi long, free_lo boolean, free_hi boolean"
+        cut,
+        "key string, doc_id long, text_sha256 string, part int, text string, "
+        "origin long, lo long, hi long, free_lo boolean, free_hi boolean",
     )
     chunks = written(chunks, "chunks")
     matrices = chunks.mapInArrow(transfer, "key string, part int, stop long, matrix array<array<long>>")
     ways = matrices.groupBy("key").applyInArrow(combine, "key string, part int, way array<long>")
-    parts = chunks.join(ways, ["key", "part"]).select("key", "doc_id", "part", "text", "origin", "lo", "hi", "way")
-    traced = parts.mapInArrow(back, "key string, doc_id long, part int, ids array<int>")
+    parts = chunks.join(ways, ["key", "part"]).select("key", "doc_id", "text_sha256", "part", "text", "origin", "lo", "hi", "way")
+    traced = parts.mapInArrow(back, "key string, doc_id long, text_sha256 string, part int, ids array<int>")
     joined = traced.groupBy("key").agg(  # the chunks of one document make one row again
-        F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list(F.struct("part", "ids"))).alias("parts")
+        F.first("doc_id").alias("doc_id"),
+        F.first("text_sha256").alias("text_sha256"),
+        F.sort_array(F.collect_list(F.struct("part", "ids"))).alias("parts"),
     )
-    return short.unionByName(joined.select("doc_id", F.flatten("parts.ids").alias("ids")))
+    return short.unionByName(joined.select("doc_id", "text_sha256", F.flatten("parts.ids").alias("ids")))
 
 
 class Decoder:
@@ -430,7 +440,10 @@ def decode(encoded: DataFrame, known: Broadcast) -> DataFrame:
 
 
 def digests(encoded: DataFrame, known: Broadcast) -> DataFrame:
-    """Per row: doc_id, n_tokens, ids_sha256 (of the ids as decimal numbers with spaces between), decoded_sha256, n_bytes."""
+    """``encoded`` without its ids: n_tokens, ids_sha256 (of the ids as decimal numbers with spaces between), decoded_sha256, exact.
+
+    exact: the ids decode to the text. A text that holds the character of SPACE decodes to a space there.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(known.value)
@@ -439,15 +452,34 @@ def digests(encoded: DataFrame, known: Broadcast) -> DataFrame:
             flat = ids.flatten().to_numpy()
             ends = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]).astype(np.int64)
             spelled = pa.array(flat).cast(pa.string()).to_pylist()
-            of_ids, of_text, sizes = [], [], []
+            of_ids, of_text = [], []
             for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
                 of_ids.append(hashlib.sha256(" ".join(spelled[a:b]).encode()).hexdigest())
-                raw = decoder.decode(flat[a:b].astype(np.int64))
-                of_text.append(hashlib.sha256(raw).hexdigest())
-                sizes.append(len(raw))
+                of_text.append(hashlib.sha256(decoder.decode(flat[a:b].astype(np.int64))).hexdigest())
+            decoded = pa.array(of_text, pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(np.diff(ends)), pa.array(of_ids, pa.string()), decoded, pc.equal(decoded, batch.column("text_sha256"))],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "exact"],
+            )
+
+    return encoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, exact boolean")
+
+
+def with_check(encoded: DataFrame, known: Broadcast) -> DataFrame:
+    """``encoded`` as doc_id, ids, n_tokens, and exact: whether the ids decode to the text."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = Decoder(known.value)
+        for batch in batches:
+            ids = batch.column("ids")
+            flat = ids.flatten().to_numpy()
+            ends = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]).astype(np.int64)
+            exact = [
+                hashlib.sha256(decoder.decode(flat[a:b].astype(np.int64))).hexdigest() == sha
+                for a, b, sha in zip(ends[:-1].tolist(), ends[1:].tolist(), batch.column("text_sha256").to_pylist())
+            ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(ends)), pa.array(of_ids), pa.array(of_text), pa.array(sizes, pa.int64())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_bytes"],
+                [batch.column("doc_id"), ids, pa.array(np.diff(ends)), pa.array(exact, pa.bool_())], ["doc_id", "ids", "n_tokens", "exact"]
             )
 
-    return encoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_bytes long")
+    return encoded.mapInArrow(run, "doc_id long, ids array<int>, n_tokens long, exact boolean")

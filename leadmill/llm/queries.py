@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadmill.llm import toxicity
+from leadmill.llm import quality, toxicity
 from leadmill.llm.chat import neighbours, preference_turns
 from leadmill.llm.common import prepare, table
 from leadmill.llm.contamination import contaminated
@@ -80,3 +80,13 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return place(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = quality.fit(docs, labels.where(toxicity.remainder(4) != 2))
+    held_out = F.coalesce(toxicity.remainder(4) == 2, F.lit(False)).alias("held_out")
+    predicted = (F.col("score") >= quality.CUT).cast("int").alias("predicted")
+    return quality.score(docs, model).select("doc_id", held_out, "score", predicted)
