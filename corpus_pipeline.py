@@ -6,22 +6,49 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from leadmill.llm.common import prepare
-from leadmill.llm.simhash import one_per_group
+from leadmill.llm import contamination, pieces, simhash, suffixes, toxicity
+from leadmill.llm.common import prepare, table
 from leadmill.session import scratch_dir
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score reaches the cut go; the model learns from the labels of the corpus."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    return toxicity.without_toxic(docs, toxicity.fit(docs, labels))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
-    return one_per_group(docs)
+    return simhash.one_per_group(docs)
+
+
+def drop_repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 100 bytes that already stand earlier leave the texts."""
+    return suffixes.without_repeats(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item go."""
+    return contamination.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of each text, and whether they decode to it."""
+    known = pieces.vocabulary(prepare(spark))
+    return pieces.with_check(pieces.encode(docs, known), known)
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("simhash", drop_near_duplicates),
+    ("suffix_dedup", drop_repeated_bytes),
+    ("decontaminate", drop_contaminated),
+    ("sentencepiece", tokenize),
 ]
 
-# Learned weights, hashes and tokenizer files are beyond SQL; the stages are tested against brute force.
+# Learned weights, hashes of bytes and a vocabulary file are beyond SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
