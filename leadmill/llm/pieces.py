@@ -16,8 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +29,10 @@ from leadmill.llm.common import _powers, mixed, prepare, texts, written
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 16_384
-# Units whose ids a worker remembers.
-CACHE = 800_000
+# Units whose ids a worker remembers, and neighbours that it remembers as kept or not.
+CACHE, PAIRS = 1_500_000, 300_000
+# Longer units are traced one by one.
+SHORT_UNIT = 32
 SPACE = 0x2581
 _STEP = 0xD6E8FEB86659FD93
 _BACK = pow(_STEP, -1, 1 << 64)
@@ -60,6 +61,12 @@ class Vocabulary:
         for value, i in self.byte.items():
             self.bytes[i] = bytes([value])
         self._encoder: Encoder | None = None
+        self._decoder: Decoder | None = None
+
+    def decoder(self) -> Decoder:
+        if self._decoder is None:
+            self._decoder = Decoder(self)
+        return self._decoder
 
     def encoder(self) -> Encoder:
         """One encoder for each Python worker, so that units stay known from task to task."""
@@ -80,12 +87,29 @@ class Encoder:
         # pieces (True) and their beginnings
         self.match = {p[:k]: False for p in vocabulary.id for k in range(1, len(p))} | dict.fromkeys(vocabulary.id, True)
         self.kept: dict[tuple[str | None, str], bool] = {}
+        # pieces by number: text, id, characters, code; and a table of bits that most codes are not in
+        self.names = sorted(vocabulary.id)
+        self.number_id = np.array([vocabulary.id[p] for p in self.names], np.int32)
+        self.number_size = np.array([len(p) for p in self.names], np.int64)
+        codes = np.array([int(self._sums(p)[1][0]) for p in self.names], np.uint64)
+        self.order = np.argsort(codes)
+        self.codes = codes[self.order]
+        self.maybe = np.zeros(1 << 22, bool)
+        self.maybe[self.codes & np.uint64((1 << 22) - 1)] = True
+        self.pair_key, self.pair_good = np.zeros(1 << 20, np.uint64), np.zeros(1 << 20, bool)
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[int, int] = {}
-        self.flat = array("i")
-        self.begin = array("q", [0])
+        self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.flat, self.begin = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    @staticmethod
+    def _sums(text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Running sums that give the code of any part of a text, and the code of all of it."""
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        sums = np.zeros(len(points) + 1, np.uint64)
+        np.cumsum(mixed(points + np.uint64(1)) * _powers(_STEP, len(points)), out=sums[1:])
+        return sums, mixed(sums[-1:] + np.uint64(len(points)))
 
     @staticmethod
     def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -113,7 +137,7 @@ class Encoder:
         """Whether merging leaves these neighbours as they are; without a left one, whether it makes ``right`` one piece."""
         pair = (left, right)
         if pair not in self.kept:
-            if len(self.kept) > 1_000_000:
+            if len(self.kept) > PAIRS:
                 self.kept.clear()
             self.kept[pair] = self.merged((left or "") + right) == [x for x in pair if x is not None]
         return self.kept[pair]
@@ -163,6 +187,89 @@ class Encoder:
     def unit(self, text: str) -> list[int]:
         return self.ids(self.trace(self.reach(text, 0, None), 0, len(text)))
 
+    def _kept(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """keeps() for pairs of numbers of pieces; left -1: none."""
+        key = (left + 2).astype(np.uint64) << np.uint64(20) | right.astype(np.uint64)
+        slot = (mixed(key) & np.uint64(len(self.pair_key) - 1)).astype(np.int64)
+        good = self.pair_good[slot]
+        new = np.flatnonzero(self.pair_key[slot] != key)
+        if len(new):
+            _, first, inverse = np.unique(key[new], return_index=True, return_inverse=True)
+            own = new[first]
+            found = np.array(
+                [self.keeps(self.names[a] if a >= 0 else None, self.names[b]) for a, b in zip(left[own].tolist(), right[own].tolist())]
+            )
+            good[new] = found[inverse]
+            self.pair_key[slot[own]], self.pair_good[slot[own]] = key[own], found
+        return good
+
+    def _paths(self, sums: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """reach() and trace() for many short units at once: ids, and how many each has. Longest units first."""
+        most = int(size[0])
+        last = np.full((len(start), most + 1), -9, np.int32)
+        last[:, 0] = -1
+        back = _powers(_BACK, len(sums))
+        for end in range(1, most + 1):
+            todo = np.arange(int(np.searchsorted(-size, -end, "right")))
+            stop = sums[start[todo] + end]
+            for long in range(1, min(self.longest, end) + 1):
+                begin = end - long
+                at = start[todo] + begin
+                code = mixed((stop - sums[at]) * back[at] + np.uint64(long))
+                hit = np.flatnonzero(self.maybe[code & np.uint64((1 << 22) - 1)])
+                nth = np.minimum(np.searchsorted(self.codes, code[hit]), len(self.codes) - 1)
+                same = self.codes[nth] == code[hit]
+                hit, piece = hit[same], self.order[nth[same]]
+                if not len(hit):
+                    continue
+                left = last[todo[hit], begin]
+                able = left > -9
+                hit, piece, left = hit[able], piece[able], left[able]
+                good = self._kept(left, piece)
+                last[todo[hit[good]], end] = piece[good]
+                rest = np.ones(len(todo), bool)
+                rest[hit[good]] = False
+                todo, stop = todo[rest], stop[rest]
+                if not len(todo):
+                    break
+        rows, at, steps = np.arange(len(start)), size.copy(), []
+        while len(rows):
+            piece = last[rows, at]
+            steps.append((rows, piece))
+            at = at - self.number_size[piece]
+            rows, at = rows[at > 0], at[at > 0]
+        unit = np.concatenate([r for r, _ in steps])
+        piece = np.concatenate([p for _, p in steps])
+        nth = np.concatenate([np.full(len(r), -i) for i, (r, _) in enumerate(steps)])
+        order = np.lexsort((nth, unit))
+        return self.number_id[piece[order]], np.bincount(unit, minlength=len(start))
+
+    def _learn(self, joined: str, points: np.ndarray, sums: np.ndarray, code: np.ndarray, start: np.ndarray, stop: np.ndarray) -> None:
+        """Remember the paths of units with new codes."""
+        size = stop - start
+        order = np.argsort(-size, kind="stable")
+        code, start, stop, size = code[order], start[order], stop[order], size[order]
+        long = int(np.searchsorted(-size, -SHORT_UNIT, "left"))
+        single = size == 1  # perhaps a character without a piece
+        many = ~single
+        many[:long] = False
+        ids, counts = [], np.zeros(len(start), np.int64)
+        slow = np.flatnonzero(~many)
+        by_hand = [self.unit(joined[a:b]) for a, b in zip(start[slow].tolist(), stop[slow].tolist())]
+        counts[slow] = [len(x) for x in by_hand]
+        if many.any():
+            found, counts[many] = self._paths(sums, start[many], size[many])
+        else:
+            found = np.zeros(0, np.int32)
+        head = int((~many[:long]).sum())
+        ids = [i for x in by_hand[:head] for i in x], found, [i for x in by_hand[head:] for i in x]
+        place = np.arange(len(start)) + len(self.begin) - 1
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(counts)])
+        self.flat = np.concatenate([self.flat, *(np.asarray(x, np.int32) for x in ids)])
+        known, where = np.concatenate([self.known, code]), np.concatenate([self.place, place.astype(np.int32)])
+        order = np.argsort(known, kind="stable")
+        self.known, self.place = known[order], where[order]
+
     def encode(self, values: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of several texts that begin and end at places that no piece spans, and where each text's begin."""
         sizes = np.array([len(v) for v in values], np.int64)
@@ -175,25 +282,23 @@ class Encoder:
         first[1:-1] = self.cuts(points)
         first[ends] = True
         at = np.flatnonzero(first)
-        sums = np.zeros(len(points) + 1, np.uint64)
-        np.cumsum(mixed(points.astype(np.uint64) + np.uint64(1)) * _powers(_STEP, len(points)), out=sums[1:])
+        sums, _ = self._sums(joined)
         code = mixed((sums[at[1:]] - sums[at[:-1]]) * _powers(_BACK, len(points))[at[:-1]] + (at[1:] - at[:-1]).astype(np.uint64))
         unique, where, inverse = np.unique(code, return_index=True, return_inverse=True)
-        if len(self.known) + len(unique) > CACHE:
+        if len(self.known) > CACHE:
             self.clear()
-        number = np.empty(len(unique), np.int64)
-        for i, (key, unit) in enumerate(zip(unique.tolist(), where.tolist())):
-            nth = self.known.get(key)
-            if nth is None:
-                nth = self.known[key] = len(self.begin) - 1
-                self.flat.extend(self.unit(joined[at[unit] : at[unit + 1]]))
-                self.begin.append(len(self.flat))
-            number[i] = nth
-        begin = np.array(self.begin, np.int64)
-        lengths = (begin[1:] - begin[:-1])[number][inverse]
+        nth = np.searchsorted(self.known, unique)
+        new = np.ones(len(unique), bool)
+        inside = nth < len(self.known)
+        new[inside] = self.known[nth[inside]] != unique[inside]
+        if new.any():
+            self._learn(joined, points, sums, unique[new], at[where[new]], at[where[new] + 1])
+            nth = np.searchsorted(self.known, unique)
+        unit = self.place[nth][inverse]
+        lengths = (self.begin[1:] - self.begin[:-1])[unit]
         out_ends = np.concatenate([[0], np.cumsum(lengths)])
-        place = np.arange(out_ends[-1]) - np.repeat(out_ends[:-1], lengths) + np.repeat(begin[number][inverse], lengths)
-        return np.array(self.flat, np.int32)[place], out_ends[np.searchsorted(at, ends)]
+        place = np.arange(out_ends[-1]) - np.repeat(out_ends[:-1] - self.begin[unit], lengths)
+        return self.flat[place], out_ends[np.searchsorted(at, ends)]
 
     # Chunks: ``text`` is the chunk with the characters around it that a piece could hold; ``origin`` is its first
     # character's place in the document, ``lo`` and ``hi`` are the chunk's cuts within ``text``.
@@ -314,22 +419,30 @@ def vocabulary(spark: SparkSession, path: str = MODEL) -> Broadcast:
     return spark.sparkContext.broadcast(Vocabulary(path))
 
 
-def encode(docs: DataFrame, known: Broadcast, chunk: int = CHUNK) -> DataFrame:
+# What becomes of encoded rows: doc_id, text_sha256, ids, and where each row's begin -> columns.
+Finish = Callable[[pa.Array, pa.Array, np.ndarray, np.ndarray], list]
+
+
+def _finished(batch: pa.RecordBatch, finish: Finish, names: list[str]) -> pa.RecordBatch:
+    ids = batch.column("ids")
+    ends = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]).astype(np.int64)
+    return pa.RecordBatch.from_arrays(finish(batch.column("doc_id"), batch.column("text_sha256"), ids.flatten().to_numpy(), ends), names)
+
+
+def _encoded(docs: DataFrame, known: Broadcast, chunk: int, schema: str, finish: Finish) -> DataFrame:
     """Per row of ``docs``: doc_id, text_sha256, and the ids of its whole text (null and empty: none).
 
     Other columns are not looked at; repeated rows are encoded each, an empty table gives no rows.
     """
     prepare(docs.sparkSession)
-    longest = known.value.longest
+    longest, names = known.value.longest, [c.split()[0] for c in schema.split(", ")]
     own = texts(docs).withColumn("text_sha256", F.sha2("text", 256))
 
     def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = known.value.encoder()
         for rows, values in _some(batches):
             ids, ends = encoder.encode([prefixed(v) for v in values])
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), rows.column("text_sha256"), _lists(ids, ends)], ["doc_id", "text_sha256", "ids"]
-            )
+            yield pa.RecordBatch.from_arrays(finish(rows.column("doc_id"), rows.column("text_sha256"), ids, ends), names)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = known.value.encoder()
@@ -390,7 +503,7 @@ def encode(docs: DataFrame, known: Broadcast, chunk: int = CHUNK) -> DataFrame:
             )
 
     size = F.char_length("text")
-    short = own.where(size < chunk).mapInArrow(whole, "doc_id long, text_sha256 string, ids array<int>")
+    short = own.where(size < chunk).mapInArrow(whole, schema)
     chunks = own.where(size >= chunk).mapInArrow(
         cut,
         "key string, doc_id long, text_sha256 string, part int, text string, "
@@ -406,7 +519,21 @@ def encode(docs: DataFrame, known: Broadcast, chunk: int = CHUNK) -> DataFrame:
         F.first("text_sha256").alias("text_sha256"),
         F.sort_array(F.collect_list(F.struct("part", "ids"))).alias("parts"),
     )
-    return short.unionByName(joined.select("doc_id", "text_sha256", F.flatten("parts.ids").alias("ids")))
+    joined = joined.select("doc_id", "text_sha256", F.flatten("parts.ids").alias("ids"))
+
+    def whole_again(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _finished(batch, finish, names)
+
+    return short.unionByName(joined.mapInArrow(whole_again, schema))
+
+
+def encode(docs: DataFrame, known: Broadcast, chunk: int = CHUNK) -> DataFrame:
+    """Per row of ``docs``: doc_id and the ids of its whole text (null and empty: none).
+
+    Other columns are not looked at; repeated rows are encoded each, an empty table gives no rows.
+    """
+    return _encoded(docs, known, chunk, "doc_id long, ids array<int>", lambda doc_id, sha, ids, ends: [doc_id, _lists(ids, ends)])
 
 
 class Decoder:
@@ -439,47 +566,36 @@ def decode(encoded: DataFrame, known: Broadcast) -> DataFrame:
     return encoded.mapInArrow(run, encoded.drop("text").schema.add("text", "string"))
 
 
-def digests(encoded: DataFrame, known: Broadcast) -> DataFrame:
-    """``encoded`` without its ids: n_tokens, ids_sha256 (of the ids as decimal numbers with spaces between), decoded_sha256, exact.
+def _decoded(known: Broadcast, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Checksums of the decoded texts."""
+    decoder = known.value.decoder()
+    return pa.array(
+        [hashlib.sha256(decoder.decode(ids[a:b].astype(np.int64))).hexdigest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())],
+        pa.string(),
+    )
+
+
+def encode_with_check(docs: DataFrame, known: Broadcast, chunk: int = CHUNK) -> DataFrame:
+    """encode(), with n_tokens and exact: whether the ids decode to the text.
 
-    exact: the ids decode to the text. A text that holds the character of SPACE decodes to a space there.
+    A text that holds the character of SPACE itself decodes to a space there.
     """
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(known.value)
-        for batch in batches:
-            ids = batch.column("ids")
-            flat = ids.flatten().to_numpy()
-            ends = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]).astype(np.int64)
-            spelled = pa.array(flat).cast(pa.string()).to_pylist()
-            of_ids, of_text = [], []
-            for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
-                of_ids.append(hashlib.sha256(" ".join(spelled[a:b]).encode()).hexdigest())
-                of_text.append(hashlib.sha256(decoder.decode(flat[a:b].astype(np.int64))).hexdigest())
-            decoded = pa.array(of_text, pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(ends)), pa.array(of_ids, pa.string()), decoded, pc.equal(decoded, batch.column("text_sha256"))],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "exact"],
-            )
+    def finish(doc_id, sha, ids, ends):
+        return [doc_id, _lists(ids, ends), pa.array(np.diff(ends)), pc.equal(_decoded(known, ids, ends), sha)]
 
-    return encoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, exact boolean")
+    return _encoded(docs, known, chunk, "doc_id long, ids array<int>, n_tokens long, exact boolean", finish)
 
 
-def with_check(encoded: DataFrame, known: Broadcast) -> DataFrame:
-    """``encoded`` as doc_id, ids, n_tokens, and exact: whether the ids decode to the text."""
+def digests(docs: DataFrame, known: Broadcast, chunk: int = CHUNK) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_tokens, ids_sha256 (of the ids as decimal numbers with spaces between), decoded_sha256, exact."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(known.value)
-        for batch in batches:
-            ids = batch.column("ids")
-            flat = ids.flatten().to_numpy()
-            ends = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]).astype(np.int64)
-            exact = [
-                hashlib.sha256(decoder.decode(flat[a:b].astype(np.int64))).hexdigest() == sha
-                for a, b, sha in zip(ends[:-1].tolist(), ends[1:].tolist(), batch.column("text_sha256").to_pylist())
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), ids, pa.array(np.diff(ends)), pa.array(exact, pa.bool_())], ["doc_id", "ids", "n_tokens", "exact"]
-            )
+    def finish(doc_id, sha, ids, ends):
+        spelled = pa.array(ids).cast(pa.string()).to_pylist()
+        of_ids = [hashlib.sha256(" ".join(spelled[a:b]).encode()).hexdigest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+        decoded = _decoded(known, ids, ends)
+        return [doc_id, pa.array(np.diff(ends)), pa.array(of_ids, pa.string()), decoded, pc.equal(decoded, sha)]
 
-    return encoded.mapInArrow(run, "doc_id long, ids array<int>, n_tokens long, exact boolean")
+    return _encoded(
+        docs, known, chunk, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, exact boolean", finish
+    )

@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadmill.llm import quality, toxicity
+from leadmill.llm import oracles, quality, toxicity
 from leadmill.llm.chat import neighbours, preference_turns
 from leadmill.llm.common import prepare, table
 from leadmill.llm.contamination import contaminated
 from leadmill.llm.hnsw import similar_vectors
 from leadmill.llm.licenses import scan
-from leadmill.llm.pieces import digests, encode, vocabulary
+from leadmill.llm.pieces import digests, vocabulary
 from leadmill.llm.placement import place
 from leadmill.llm.simhash import simhash_groups
 from leadmill.llm.suffixes import repeated_bytes
@@ -21,7 +21,12 @@ from leadmill.llm.suffixes import repeated_bytes
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_hnsw": oracles.OP1,
+    "op5_suffix_dedup": oracles.OP5,
+    "op6_preference": oracles.OP6,
+    "op9_placement": oracles.OP9,
+}
 
 
 def query(fn: Query) -> Query:
@@ -47,7 +52,7 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = vocabulary(prepare(spark))
-    return digests(encode(table(spark, sf_dir, "documents"), known), known)
+    return digests(table(spark, sf_dir, "documents"), known)
 
 
 @query
