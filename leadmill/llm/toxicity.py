@@ -28,6 +28,8 @@ SAMPLE = 16_384
 # Documents of a shard, at most, and passes over all shards.
 SHARD, ROUNDS = 4096, 4
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.0
+# Between rounds a shard forgets places whose gradients are so far from outweighing L1.
+FORGET = L1 / 2
 CUT = 0.7
 
 
@@ -102,7 +104,7 @@ def learner(before: Broadcast) -> Callable[[pa.Table], pa.Table]:
                     yield pair[a:b] & ((1 << BITS) - 1), label
 
         learn(examples(), z, n)
-        used = np.flatnonzero(n)
+        used = np.flatnonzero(np.abs(z) > FORGET)
         return pa.table({"place": used.astype(np.int32), "z": z[used], "n": n[used]})
 
     return run
@@ -129,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         before = spark.sparkContext.broadcast((start, z[start], n[start]))
         states = chosen.groupBy("shard").applyInArrow(learner(before), "place int, z double, n double")
         mean = states.groupBy("place").agg((F.sum("z") / shards).alias("z"), (F.sum("n") / shards).alias("n"))
-        state = mean.where("n > 1e-4").toArrow()  # at most 2 ** BITS + 1 rows
+        state = mean.toArrow()  # at most 2 ** BITS + 1 rows
         z, n = np.zeros(size), np.zeros(size)
         at = state.column("place").to_numpy()
         z[at], n[at] = state.column("z").to_numpy(), state.column("n").to_numpy()
