@@ -37,7 +37,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each text, and whether they decode to it."""
     known = pieces.vocabulary(prepare(spark))
-    return pieces.with_check(pieces.encode(docs, known), known)
+    return pieces.encode_with_check(docs, known)
 
 
 STAGES = [
