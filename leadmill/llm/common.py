@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +19,9 @@ ARROW_ROWS = "500"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings of these operators."""
+    """Session settings of these operators, and where Python workers find this package if it is not installed."""
     tune(spark)
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     if not spark.sparkContext.getConf().contains("spark.sql.execution.arrow.maxRecordsPerBatch"):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     if not spark.sparkContext.getCheckpointDir():
