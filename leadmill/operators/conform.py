@@ -88,6 +88,7 @@ class SchemaReport:
     table: str
     missing: list[str]
     extra: list[str]
+    batches: tuple[str, ...] = ()
 
     @property
     def ok(self) -> bool:

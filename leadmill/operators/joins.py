@@ -74,18 +74,38 @@ def disjunctive_pairs(
 def disjunctive_left_join(
     left: DataFrame,
     right: DataFrame,
-    left_key: Sequence[str],
     arms: Sequence[Sequence[KeyPair]],
     within_days: tuple[str, str, int] | None = None,
-    distinct_left: bool = True,
 ) -> DataFrame:
-    """Left join on an OR of equalities: the matches, joined back to the left rows by ``left_key``.
+    """Left join on an OR of equalities.
 
-    Column names of the two sides must differ.
+    The left columns ride through the arms, and the rows without a match come from anti joins. So every
+    join has the left rows on a side that Spark can split where a key is hot. Column names of the two sides
+    must differ.
     """
-    pairs = disjunctive_pairs(left, right, left_key, arms, within_days, distinct_left)
-    on = _all([left[c].eqNullSafe(pairs[f"__l_{c}"]) for c in left_key])
-    return left.join(pairs, on, "left").select(*left.columns, *right.columns)
+    matched = disjunctive_pairs(left, right, left.columns, arms, within_days, distinct_left=False)
+    matched = matched.select(*[F.col(f"__l_{c}").alias(c) for c in left.columns], *right.columns)
+    lonely = _without_match(left, right, arms, within_days)
+    return matched.unionByName(lonely, allowMissingColumns=True)
+
+
+def _without_match(
+    left: DataFrame, right: DataFrame, arms: Sequence[Sequence[KeyPair]], within_days: tuple[str, str, int] | None
+) -> DataFrame:
+    """Rows of ``left`` that no arm matches: one anti join per arm, and per window that the interval touches."""
+    if not within_days:
+        return reduce(lambda rows, arm: rows.join(right, _equal(left, right, arm), "left_anti"), arms, left)
+    right_time, left_time, days = within_days
+    width = days + 1
+    start = F.to_date(left[left_time])
+    times = right.withColumn("__window", F.floor(F.unix_date(F.to_date(F.col(right_time))) / width))
+    inside = F.to_date(times[right_time]).between(start, F.date_add(start, days))
+    rows = left
+    for arm in arms:
+        for at in (start, F.date_add(start, days)):
+            window = F.floor(F.unix_date(at) / width) == times["__window"]
+            rows = rows.join(times, _equal(left, times, arm) & window & inside, "left_anti")
+    return rows
 
 
 def days_between(start: Column, end: Column) -> Column:

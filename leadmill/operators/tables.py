@@ -1,7 +1,7 @@
 """Catalog tables: partitioned writes, replacement, and upserts that rewrite only what they touch.
 
-Plain parquet tables have no MERGE. An upsert first writes its source, then the rows it leads to, as
-tables of their own, and only then swaps them in: a lost executor costs a task retry, a lost driver
+Plain parquet tables have no MERGE. An upsert first writes its source as a table of its own, and then the
+partitions that it changes over the old ones, once: a lost executor costs a task retry, a lost driver
 leaves the target as it was or is healed by running the same upsert again.
 """
 
@@ -30,15 +30,15 @@ class Warehouse:
     """Tables of the session's catalog.
 
     ``buckets`` is the number of parts into which a table without partition columns of its own is cut by
-    a hash of its key. A delta then rewrites the parts its keys fall into and no others. Zero leaves such
-    tables whole, which suits small ones. The parts are a physical matter: ``read`` does not show them.
+    a hash of its key. A delta then rewrites the parts its keys fall into and no others; zero leaves such
+    tables whole. The parts are a physical matter: ``read`` does not show them.
     """
 
     def __init__(
         self,
         spark: SparkSession,
         databases: Sequence[str] = ("raw", "staging", "marketing"),
-        buckets: int = 0,
+        buckets: int = 64,
     ):
         self.spark = tune(spark)
         self.buckets = buckets
@@ -114,15 +114,48 @@ class Warehouse:
             cut = self.bucketing(table) or cut
         if cut:
             df, partition_by = in_buckets(df, *cut), [BUCKET]
-        if self.exists(table):
+        if not self.exists(table):
+            self.write(table, df, partition_by, sort_by)
+        elif partition_by and self._same_layout(table, df, partition_by):
+            self._overwrite(table, df, list(partition_by), sort_by, self.spark.table(table).select(*partition_by).distinct())
+        else:
             self.write(f"{table}__next", df, partition_by, sort_by)
             self._swap(table, partition_by, sort_by)
-        else:
-            self.write(table, df, partition_by, sort_by)
         if cut:
             self.set_properties(table, **{BUCKETS_PROPERTY: str(cut[0]), BUCKET_KEY_PROPERTY: cut[1]})
 
+    def _same_layout(self, table: str, df: DataFrame, partition_by: Sequence[str]) -> bool:
+        stored = dict(self.spark.table(table).dtypes)
+        return list(partition_by) == self.partition_columns(table) and stored == dict(df.dtypes)
+
+    def _overwrite(
+        self, table: str, new: DataFrame, parts: list[str], sort_by: Sequence[str], before: DataFrame
+    ) -> None:
+        """Write the new rows of partitions once, over the old ones, and drop those of ``before`` that got none.
+
+        The rows may come from the table itself: Spark stages them and puts a partition in place when all are
+        written. Partitions without new rows go by name, in one statement for each thousand.
+        """
+        new = new.select(*self.spark.table(table).columns)
+        kept = f"{table}__kept"
+        # Only the columns that decide about partitions and keys are computed for this list.
+        self.write(kept, new.select(*parts).distinct().select(*[F.col(p).alias(f"__{p}") for p in parts]))
+        inside = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"__{p}")) for p in parts])
+        gone = f"{table}__gone"
+        self.write(gone, before.join(self.spark.table(kept), inside, "left_anti"))
+        new = new.hint("rebalance", *parts).sortWithinPartitions(*parts, *[c for c in sort_by if c not in parts])
+        new.write.mode("overwrite").insertInto(table)
+        names = []
+        for row in self.spark.table(gone).toLocalIterator():
+            values = [f"{p} = {'NULL' if row[p] is None else repr(str(row[p]))}" for p in parts]
+            names.append(f"PARTITION ({', '.join(values)})")
+        for i in range(0, len(names), 1000):
+            self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(names[i : i + 1000])}")
+        self.drop(kept)
+        self.drop(gone)
+
     def _swap(self, table: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> None:
+        """Put ``<table>__next`` in the table's place, where layout or columns change or there are no partitions."""
         if partition_by or self.partition_columns(table):
             # Renaming does not move the locations of partitions in every catalog, so they are copied.
             self.write(table, self.spark.table(f"{table}__next"), partition_by, sort_by, rebalance=False)
@@ -134,13 +167,22 @@ class Warehouse:
         self.drop(f"{table}__old")
 
     def recover(self, table: str) -> None:
-        """Finish a replacement that a lost driver left half done."""
+        """Finish a replacement that a lost driver left half done, whatever it left in the table's folder."""
         if not self.exists(table) and self.exists(f"{table}__next"):
+            self._clear_folder(table)
             parts = self.partition_columns(f"{table}__next")
             self.write(table, self.spark.table(f"{table}__next"), parts, rebalance=False)
             self.drop(f"{table}__next")
             self.drop(f"{table}__old")
 
+    def _clear_folder(self, table: str) -> None:
+        """Remove the folder of a table that the catalog does not know."""
+        database, name = table.split(".")
+        at = self.spark.catalog.getDatabase(database).locationUri
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{at}/{name.lower()}")
+        store = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        store.delete(folder, True)
+
     def upsert(
         self,
         table: str,
@@ -156,9 +198,11 @@ class Warehouse:
         on_schema_change: str = "ignore",
         only_changes: bool = False,
         track: datetime | None = None,
+        newer_by: str | None = None,
     ) -> None:
         """Update rows with known keys and insert the others.
 
+        ``newer_by`` names a column by which a row must not be older than the one it updates.
         ``only_changes`` leaves rows alone whose values stay the same. ``track`` keeps the versions that
         get replaced in ``<table>__before``, marked with that time, for later delta runs. ``bucket_key``
         is the column to cut a new table by (see the class); a row's key must determine it.
@@ -181,7 +225,7 @@ class Warehouse:
         if not rows.isEmpty():
 
             def merged(old: DataFrame) -> DataFrame:
-                return merge_rows(old, rows, key, loaded_at, touch_on_update, on_schema_change)
+                return merge_rows(old, rows, key, loaded_at, touch_on_update, on_schema_change, newer_by=newer_by)
 
             self._apply(table, rows, rows.select(key), key, merged, on_schema_change, sort_by, track)
         self.drop(delta)
@@ -252,16 +296,7 @@ class Warehouse:
         new = change(old.drop(BUCKET))
         if cut:
             new = in_buckets(new, *cut)
-        self.write(f"{table}__next", new, parts, sort_by)
-        new = self.spark.table(f"{table}__next").select(*stored.columns)
-        clustered = new.sortWithinPartitions(*parts, *[c for c in sort_by if c not in parts])
-        clustered.write.mode("overwrite").insertInto(table)
-        # A partition that has lost all its rows is not among the new ones, so it goes by name.
-        emptied = touched.join(new.select(*parts).distinct(), inside, "left_anti")
-        for row in emptied.toLocalIterator():
-            values = [f"{p} = {'NULL' if row[f'__{p}'] is None else repr(str(row[f'__{p}']))}" for p in parts]
-            self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({', '.join(values)})")
-        self.drop(f"{table}__next")
+        self._overwrite(table, new, parts, sort_by, touched.select(*[F.col(f"__{p}").alias(p) for p in parts]))
         self.drop(scratch)
 
     def _track(self, table: str, before: DataFrame, at: datetime) -> None:
@@ -279,7 +314,17 @@ class Warehouse:
         """Drop tracked row versions that every reader has taken in."""
         side = f"{table}{BEFORE_SUFFIX}"
         if self.exists(side):
-            self.replace(side, self.read(side).where(F.col(REPLACED_AT) > stamp(until)))
+            old = self.read(side)
+            if not old.where(F.col(REPLACED_AT) <= stamp(until)).isEmpty():
+                self.replace(side, old.where(F.col(REPLACED_AT) > stamp(until)))
+
+    def newest_change(self, table: str, column: str) -> datetime | None:
+        """The latest stamp among a table's rows and the times at which its tracked versions were replaced."""
+        found = [self.read(table).agg(F.max(column)).first()[0]] if column in self.read(table).columns else []
+        side = f"{table}{BEFORE_SUFFIX}"
+        if self.exists(side):
+            found.append(self.read(side).agg(F.max(REPLACED_AT)).first()[0])
+        return max((t for t in found if t is not None), default=None)
 
     def changed_since(self, table: str, column: str, bound) -> DataFrame:
         """Row versions newer than a bound, with the versions they replaced."""

@@ -66,15 +66,21 @@ def merge_rows(
     touch_on_update: bool = True,
     on_schema_change: str = "ignore",
     stamp_col: str = STAMP,
+    newer_by: str | None = None,
 ) -> DataFrame:
     """The target after an upsert of ``source``, which has one row per key.
 
-    With ``loaded_at`` the load writes the stamp column itself: new rows get it, and so do updated
+    ``newer_by`` names a column by which a source row must not be older than the row it updates; older ones are
+    left out. With ``loaded_at`` the load writes the stamp column itself: new rows get it, and so do updated
     rows unless ``touch_on_update`` is off, in which case they keep the stamp they had.
     """
     if loaded_at is not None:
         source = source.withColumn(stamp_col, stamp(loaded_at))
     target, source = sync_columns(target, source, on_schema_change)
+    if newer_by is not None and newer_by in target.columns:
+        known = target.select(F.col(key).alias("__key"), F.col(newer_by).alias("__since"))
+        late = (source[key] == known["__key"]) & (source[newer_by] < known["__since"])
+        source = source.join(known, late, "left_anti")
     if loaded_at is not None and not touch_on_update:
         old = target.select(F.col(key).alias("__key"), F.col(stamp_col).alias("__stamp"))
         source = (

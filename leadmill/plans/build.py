@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, functions as F
 from leadmill.functions import stamp
 from leadmill.operators.tables import Warehouse
 from leadmill.operators.upsert import keep_stamps
-from leadmill.operators.watermarks import affected_keys, both_sides, high_water, restrict_inputs
+from leadmill.operators.watermarks import NEVER, affected_keys, both_sides, high_water, restrict_inputs
 from leadmill.plans.models import LAYERS, MODELS_BY_REF, ModelSpec, build_order
 from leadmill.registry import STAMP
 
 LAST_RUN = "leadmill.last_run"
+# One property for each input: the latest stamp that the model has read of it.
+SEEN = "leadmill.seen."
 
 
 def table_of(ref: str) -> str:
@@ -39,8 +41,11 @@ def run_model(
     calendar that grows backwards needs ``full``); ``both_sides`` cuts every input to its new rows
     before joining; ``full`` recomputes and upserts.
     """
+    # Read before the inputs are, so that what is committed meanwhile counts as unseen.
+    seen = {name: warehouse.newest_change(table_of(ref), STAMP) for name, ref in spec.inputs.items()}
     _run_model(warehouse, spec, as_of, delta, on_duplicate_key)
-    warehouse.set_properties(spec.table, **{LAST_RUN: as_of.isoformat()})
+    noted = {f"{SEEN}{name}": t.isoformat() for name, t in seen.items() if t is not None}
+    warehouse.set_properties(spec.table, **{LAST_RUN: as_of.isoformat(), **noted})
 
 
 def _run_model(warehouse: Warehouse, spec: ModelSpec, as_of: datetime, delta: str, on_duplicate_key: str) -> None:
@@ -74,11 +79,17 @@ def _run_model(warehouse: Warehouse, spec: ModelSpec, as_of: datetime, delta: st
 def _run_affected(
     warehouse: Warehouse, spec: ModelSpec, inputs: dict[str, DataFrame], target: DataFrame, as_of: datetime
 ) -> None:
-    # The noted run spares a scan of the target for its newest stamp.
-    last_run = warehouse.properties(spec.table).get(LAST_RUN)
+    notes = warehouse.properties(spec.table)
+    last_run = notes.get(LAST_RUN)
     bound = stamp(datetime.fromisoformat(last_run)) if last_run else high_water(target)
+
+    def unseen_after(name: str):
+        """What was read bounds the delta, not the clock: a row may be committed after runs later than its stamp."""
+        noted = notes.get(f"{SEEN}{name}")
+        return stamp(datetime.fromisoformat(noted)) if noted else F.lit(NEVER).cast("timestamp_ntz")
+
     changed = {
-        name: warehouse.changed_since(table_of(spec.inputs[name]), STAMP, bound)
+        name: warehouse.changed_since(table_of(spec.inputs[name]), STAMP, unseen_after(name) if last_run else bound)
         for name in inputs
         if name == spec.driver or name in spec.links
     }
@@ -114,5 +125,22 @@ def build(
     return done
 
 
+def forget_seen(warehouse: Warehouse) -> None:
+    """Drop the tracked row versions that every model which reads them has taken in."""
+    until: dict[str, datetime | None] = {}
+    for spec in MODELS_BY_REF.values():
+        notes = warehouse.properties(spec.table) if warehouse.exists(spec.table) else {}
+        for name, ref in spec.inputs.items():
+            noted = notes.get(f"{SEEN}{name}")
+            at, table = datetime.fromisoformat(noted) if noted else None, table_of(ref)
+            known = until.get(table, at)
+            until[table] = None if at is None or known is None else min(known, at)
+    for table, at in until.items():
+        if at is not None:
+            warehouse.forget(table, at)
+
+
 def build_all(warehouse: Warehouse, as_of: datetime, **options) -> list[str]:
-    return [table for layer in LAYERS for table in build(warehouse, layer, as_of, **options)]
+    done = [table for layer in LAYERS for table in build(warehouse, layer, as_of, **options)]
+    forget_seen(warehouse)
+    return done

@@ -16,8 +16,6 @@ from leadmill.functions.times import day
 from leadmill.operators.joins import disjunctive_left_join
 from leadmill.registry import STAMP
 
-DATE_ROWS = 10_000
-
 
 def stamped(df: DataFrame, as_of: datetime) -> DataFrame:
     return df.withColumn(STAMP, stamp(as_of))
@@ -144,12 +142,12 @@ def dim_contact_engagement(contact: DataFrame, email_engagement: DataFrame, as_o
     return stamped(out, as_of)
 
 
-def dim_date(account: DataFrame, as_of: datetime, max_rows: int = DATE_ROWS) -> DataFrame:
-    """Calendar from the first account's creation date to today, at most ``max_rows`` days."""
+def dim_date(account: DataFrame, as_of: datetime) -> DataFrame:
+    """Calendar: every day from the first account's creation date to today; none if that lies ahead."""
     start = account.agg(F.min(F.to_date("created_date")).alias("first"))
-    last = F.least(day(as_of), F.date_add("first", max_rows - 1))
+    today = day(as_of)
     spine = start.select(
-        F.explode(F.when(F.col("first") <= last, F.sequence(F.col("first"), last))).alias("date_key")
+        F.explode(F.when(F.col("first") <= today, F.sequence(F.col("first"), today))).alias("date_key")
     )
     return spine.select("date_key", *[c.alias(n) for n, c in calendar_parts(F.col("date_key")).items()])
 
@@ -191,10 +189,8 @@ def dim_event_outcome(event: DataFrame, opportunity: DataFrame, as_of: datetime,
     joined = disjunctive_left_join(
         event.select("event_id", "subject", "start_date_time", "related_lead_id", "related_contact_id"),
         opp,
-        ["event_id"],
         [[("related_contact_id", "account_id")], [("related_lead_id", "account_id")]],
         within_days=("opened", "start_date_time", window_days),
-        distinct_left=False,
     )
     out = joined.select(
         surrogate_key("event_id", "opportunity_id").alias("event_outcome_sk"),

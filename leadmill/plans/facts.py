@@ -127,15 +127,12 @@ def fact_marketing_performance(
 
 
 def campaign_days(campaign: DataFrame, dates: DataFrame, as_of: datetime) -> DataFrame:
-    """``campaign_id`` and each calendar date within the campaign; an open campaign runs until today.
-
-    The calendar holds at most 10,000 rows by construction, so it is broadcast.
-    """
+    """``campaign_id`` and each calendar date within the campaign; an open campaign runs until today."""
     last = F.coalesce(F.to_date("end_date"), day(as_of))
     days = campaign.select(
         "campaign_id", F.explode(days_between(first_whole_day(F.col("start_date")), last)).alias("date_key")
     )
-    return days.join(F.broadcast(dates.select("date_key")), "date_key")
+    return days.join(dates.select("date_key"), "date_key")
 
 
 def fct_campaign_performance(
@@ -217,20 +214,21 @@ def fct_daily_performance(
 ) -> DataFrame:
     """Every combination of a campaign's members, their leads, its opportunities and its days.
 
-    The rows of the result are that product, so the joins are cut into balanced cells. Days come last,
-    out of an array that travels with the campaign (at most one entry per calendar row).
+    The rows of the result are that product, so the joins are cut into balanced cells. Only a campaign's
+    first and last calendar date travel through them; the days between come out at the end, since the
+    calendar has every day from its first to its last.
     """
     days = (
         campaign_days(dim_campaign, dim_date, as_of)
         .groupBy("campaign_id")
-        .agg(F.collect_list("date_key").alias("days"))
+        .agg(F.min("date_key").alias("first_day"), F.max("date_key").alias("last_day"))
     )
     camp = dim_campaign.select("campaign_sk", "campaign_id", F.col("budget").alias("campaign_budget"))
     camp = lookup(
         camp, dim_campaign_performance, "campaign_id", "campaign_id",
         "unique_recipients", "total_opens", "total_clicks",
     )
-    camp = lookup(camp, days, "campaign_id", "campaign_id", "days")
+    camp = lookup(camp, days, "campaign_id", "campaign_id", "first_day", "last_day")
 
     members = dim_campaign_member_engagement.select(
         "member_sk", "campaign_id", "contact_id", "total_engagements", "email_opens", "event_attendances"
@@ -252,7 +250,7 @@ def fct_daily_performance(
     per_campaign = dim_campaign_member_engagement.select("campaign_id")
     rows = one_to_many(camp, members, "campaign_id", many_keys=per_campaign)
     rows = fanout_left_join(rows, opps, "campaign_id", left_rows=per_campaign)
-    rows = rows.withColumn("date_key", F.explode_outer("days"))
+    rows = rows.withColumn("date_key", F.explode_outer(days_between(F.col("first_day"), F.col("last_day"))))
     out = rows.select(
         surrogate_key("campaign_sk", "member_sk", "contact_sk", "lead_sk", "opportunity_sk", "date_key").alias(
             "daily_performance_sk"

@@ -1,12 +1,27 @@
-"""Batch folders of parquet files: ``<root>/<YYYY-MM-DD_HHMMSS>/<entity>.parquet``."""
+"""Batch folders of parquet files: ``<root>/<YYYY-MM-DD_HHMMSS>/<entity>.parquet``.
+
+A scan begins with the folder names, which say what is new; only new files are listed and opened. Files are
+grouped by the schema in their footers, every group is read by itself, and the groups are brought to common
+types before they are united. So a batch that differs in types or columns from others does no harm to them.
+"""
 
 from __future__ import annotations
 
+import re
+from collections import defaultdict
+from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+from leadmill.functions import epoch_ns_to_ts, is_time_type, parse_batch_id, stamp
+from leadmill.functions.times import BATCH_ID_PATTERN
 
-from leadmill.functions import parse_batch_id, stamp
+FILE_SCHEMA = "file_path string, file_size bigint, committed_at timestamp_ntz, batch_id string"
+# Footers that are read side by side, and names that one path pattern may hold.
+FOOTERS, PATTERN_NAMES = 16, 200
 
 
 def batch_id_of(path: Column) -> Column:
@@ -18,11 +33,36 @@ def entity_glob(root: str, entity: str) -> str:
     return f"{root.rstrip('/')}/*/{entity}.parquet"
 
 
-def list_files(spark: SparkSession, root: str, entity: str) -> DataFrame:
-    """Files of one entity with batch, size and time; file contents are not read."""
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what stands directly in a folder, sorted; none where there is no such folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not store.exists(folder):
+        return []
+    return sorted(status.getPath().getName() for status in store.listStatus(folder))
+
+
+def new_batches(spark: SparkSession, root: str, after: str | None = None) -> list[str]:
+    """Batch folders after the given one, oldest first; other names are left out."""
+    names = [n for n in folder_names(spark, root) if re.match(BATCH_ID_PATTERN, n)]
+    return [n for n in names if after is None or n > after]
+
+
+def list_files(spark: SparkSession, root: str, entity: str, batches: Sequence[str] | None = None) -> DataFrame:
+    """Files of one entity (of some batches) with batch, size and time; file contents are not read."""
+    if batches is None:
+        patterns = [entity_glob(root, entity)]
+    else:
+        patterns = []
+        for i in range(0, len(batches), PATTERN_NAMES):
+            names = ",".join(batches[i : i + PATTERN_NAMES])
+            patterns.append(f"{root.rstrip('/')}/{{{names}}}/{entity}.parquet")
+    found = [p for p in patterns if _matches(spark, p)]
+    if not found:
+        return spark.createDataFrame([], FILE_SCHEMA)
     return (
         spark.read.format("binaryFile")
-        .load(entity_glob(root, entity))
+        .load(found)
         .select(
             F.col("path").alias("file_path"),
             F.col("length").alias("file_size"),
@@ -32,6 +72,12 @@ def list_files(spark: SparkSession, root: str, entity: str) -> DataFrame:
     )
 
 
+def _matches(spark: SparkSession, pattern: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    store = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return len(store.globStatus(path) or []) > 0
+
+
 def added_files(spark: SparkSession, root: str, entity: str, after: datetime | None = None) -> DataFrame:
     """Files that were committed after a time (all files without one), oldest first."""
     files = list_files(spark, root, entity)
@@ -65,35 +111,135 @@ def newer_batches(df: DataFrame, after: str | None, column: str = "batch_id") ->
     return df.where(F.col(column) > F.lit(after)) if after else df
 
 
+@dataclass
+class FileGroups:
+    """Files by the schema in their footers, and the files whose footers cannot be read, with the reason."""
+
+    groups: list[tuple[T.StructType, list[str]]] = field(default_factory=list)
+    unreadable: list[tuple[str, str]] = field(default_factory=list)
+
+
+def by_footer(spark: SparkSession, paths: Iterable[str]) -> FileGroups:
+    """Read the footers of the given files and no others."""
+
+    def footer(path: str) -> tuple[str, T.StructType | None, str]:
+        try:
+            return path, spark.read.parquet(path).schema, ""
+        except Exception as error:  # noqa: BLE001 - reported with the file, the others go on
+            return path, None, str(error).splitlines()[0][:200]
+
+    out, found = FileGroups(), defaultdict(list)
+    with ThreadPoolExecutor(FOOTERS) as pool:
+        for path, schema, error in pool.map(footer, sorted(paths)):
+            if schema is None:
+                out.unreadable.append((path, error))
+            else:
+                found[schema.json()].append((schema, path))
+    out.groups = [(files[0][0], [path for _, path in files]) for files in found.values()]
+    return out
+
+
+def _is_time(dtype: T.DataType) -> bool:
+    return is_time_type(dtype) or isinstance(dtype, T.LongType)
+
+
+def unite(frames: Sequence[DataFrame]) -> DataFrame:
+    """Frames of one entity as one, by column name in any case.
+
+    A column that has one type everywhere keeps it. Times that come as timestamps here and as epoch nanoseconds
+    there become timestamps; any other difference is settled as text. Columns that a frame lacks are NULL there.
+    """
+    if len(frames) == 1:
+        return frames[0]
+    types: dict[str, list[T.DataType]] = defaultdict(list)
+    names: dict[str, str] = {}
+    for frame in frames:
+        for f in frame.schema.fields:
+            names.setdefault(f.name.lower(), f.name)
+            types[f.name.lower()].append(f.dataType)
+
+    def common(f: T.StructField) -> Column:
+        seen, name = types[f.name.lower()], names[f.name.lower()]
+        if all(t == seen[0] for t in seen):
+            value = F.col(f.name)
+        elif all(map(_is_time, seen)) and any(map(is_time_type, seen)):
+            long = isinstance(f.dataType, T.LongType)
+            value = epoch_ns_to_ts(F.col(f.name)) if long else F.col(f.name).cast("timestamp_ntz")
+        else:
+            value = F.col(f.name).cast("string")
+        return value.alias(name)
+
+    out = frames[0].select(*[common(f) for f in frames[0].schema.fields])
+    for frame in frames[1:]:
+        out = out.unionByName(frame.select(*[common(f) for f in frame.schema.fields]), allowMissingColumns=True)
+    return out
+
+
+def read_groups(spark: SparkSession, files: FileGroups, skip_corrupt: bool = False) -> DataFrame | None:
+    """All rows of the readable files with ``batch_id`` and ``file_path``; None without any such file.
+
+    ``skip_corrupt`` also reads past files whose data, not only whose footer, cannot be read.
+    """
+    path, frames = F.col("_metadata.file_path"), []
+    for schema, paths in files.groups:
+        reader = spark.read.schema(schema)
+        if skip_corrupt:
+            reader = reader.option("ignoreCorruptFiles", "true")
+        frames.append(reader.parquet(*paths).select("*", batch_id_of(path).alias("batch_id"), path.alias("file_path")))
+    return unite(frames) if frames else None
+
+
 def read_entity(
-    spark: SparkSession,
-    root: str,
-    entity: str,
-    after: str | None = None,
-    merge_schema: bool = True,
-    skip_corrupt: bool = False,
+    spark: SparkSession, root: str, entity: str, after: str | None = None, skip_corrupt: bool = False
 ) -> DataFrame:
-    """All valid batches of one entity in a single scan, with ``batch_id`` and ``file_path``.
+    """All rows of an entity's batches after the given one. Older files are neither listed nor opened.
 
-    The bound on the batch applies to file names, so older files are not opened. ``skip_corrupt`` reads
-    past unreadable files; ``silent_batches`` finds out which these were.
+    An unreadable file fails the read, or is left out with ``skip_corrupt``.
     """
-    reader = spark.read.option("mergeSchema", str(merge_schema).lower())
-    if skip_corrupt:
-        reader = reader.option("ignoreCorruptFiles", "true")
-    df = reader.parquet(entity_glob(root, entity))
-    path = F.col("_metadata.file_path")
-    df = df.select("*", batch_id_of(path).alias("batch_id"), path.alias("file_path"))
-    df = df.where(parse_batch_id(F.col("batch_id")).isNotNull())
-    return newer_batches(df, after)
+    paths = [r[0] for r in list_files(spark, root, entity, new_batches(spark, root, after)).select("file_path").collect()]
+    files = by_footer(spark, paths)
+    if files.unreadable and not skip_corrupt:
+        raise ValueError(f"unreadable files of {entity}: {files.unreadable[:3]}")
+    rows = read_groups(spark, files, skip_corrupt)
+    if rows is None:
+        raise FileNotFoundError(f"PATH_NOT_FOUND: no readable file of {entity} in {root}" + (f" after {after}" if after else ""))
+    return rows
+
 
+def unread_files(spark: SparkSession, files: FileGroups, rows: DataFrame, entity: str, loaded_at: datetime) -> DataFrame:
+    """A reject line for each file that was not read, or not to its end.
 
-def silent_batches(files: DataFrame, rows: DataFrame) -> DataFrame:
-    """Files of batches from which no row was read."""
-    seen = rows.select(F.col("batch_id").alias("__seen")).distinct()
-    return files.join(seen, F.col("batch_id") == F.col("__seen"), "left_anti")
+    ``rows`` are what was read. A file counts as read if it gave as many rows as its footer announces, so an empty
+    file is not taken for a broken one.
+    """
+    whole = None
+    for schema, paths in files.groups:
+        # Without columns only footers are read.
+        counts = spark.read.schema(schema).parquet(*paths).groupBy(F.col("_metadata.file_path").alias("file_path")).count()
+        whole = counts if whole is None else whole.unionByName(counts)
+    lines = spark.createDataFrame([(p, m) for p, m in files.unreadable], "file_path string, message string")
+    if whole is not None:
+        got = rows.groupBy(F.col("file_path").alias("__path")).agg(F.count(F.lit(1)).alias("__got"))
+        short = whole.join(got, whole["file_path"] == got["__path"], "left").where("coalesce(__got, 0) < count")
+        lines = lines.unionByName(short.select("file_path", F.lit("no readable rows").alias("message")))
+    return lines.select(
+        F.lit(entity).alias("entity"), "file_path", batch_id_of(F.col("file_path")).alias("batch_id"),
+        F.when(F.col("message") == "no readable rows", F.col("message")).otherwise(F.lit("unreadable file")).alias("message"),
+        F.lit(1).cast("bigint").alias("count"), stamp(loaded_at).alias("load_timestamp"),
+    )
 
 
 def read_cleaned(spark: SparkSession, out_dir: str, entity: str, after: str | None = None) -> DataFrame:
-    """Cleaned batches of one entity; older batches are pruned as partitions."""
-    return newer_batches(spark.read.parquet(f"{out_dir.rstrip('/')}/{entity}"), after)
+    """Cleaned batches of one entity with all columns that any of them has; older batches are not opened."""
+    base = f"{out_dir.rstrip('/')}/{entity}"
+    names = [n for n in folder_names(spark, base) if n.startswith("batch_id=")]
+    paths = [f"{base}/{n}" for n in names if after is None or n.removeprefix("batch_id=") > after]
+    if not paths:
+        raise FileNotFoundError(f"PATH_NOT_FOUND: no cleaned batches of {entity} in {out_dir}" + (f" after {after}" if after else ""))
+    frames = []
+    for schema, files in by_footer(spark, paths).groups:
+        # A batch's folder has one schema: it was written by one job.
+        frames.append(spark.read.schema(schema).option("basePath", base).parquet(*files).select("*", F.col("_metadata.file_path").alias("__path")))
+    rows = unite(frames)
+    batch = F.regexp_extract("__path", r"/batch_id=([^/]+)/", 1)
+    return rows.drop("batch_id").withColumn("batch_id", batch).drop("__path")

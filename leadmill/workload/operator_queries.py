@@ -506,7 +506,7 @@ def _members(t: Tables) -> DataFrame:
 def or_join(t: Tables) -> DataFrame:
     engagements = t("raw.email_engagement").select("engagement_id", F.col("contact_id").alias("engaged"))
     arms = [[("contact_id", "engaged")], [("lead_id", "engaged")]]
-    joined = disjunctive_left_join(_members(t), engagements, ["member_id"], arms, distinct_left=False)
+    joined = disjunctive_left_join(_members(t), engagements, arms)
     return joined.drop("campaign_id")
 
 
@@ -520,7 +520,7 @@ def equi_or_join(t: Tables) -> DataFrame:
     events = t("raw.event").select("event_id", "related_campaign_id", "related_contact_id", "related_lead_id")
     same_campaign = ("campaign_id", "related_campaign_id")
     arms = [[same_campaign, ("contact_id", "related_contact_id")], [same_campaign, ("lead_id", "related_lead_id")]]
-    joined = disjunctive_left_join(_members(t), events, ["member_id"], arms, distinct_left=False)
+    joined = disjunctive_left_join(_members(t), events, arms)
     return joined.select("member_id", "campaign_id", "event_id", "related_contact_id", "related_lead_id")
 
 
@@ -536,9 +536,7 @@ def interval_or_join(t: Tables) -> DataFrame:
     events = t("raw.event").select("event_id", "start_date_time", "related_contact_id", "related_lead_id")
     opps = t("raw.opportunity").select("opportunity_id", "account_id", F.col("created_date").alias("opened"))
     arms = [[("related_contact_id", "account_id")], [("related_lead_id", "account_id")]]
-    joined = disjunctive_left_join(
-        events, opps, ["event_id"], arms, within_days=("opened", "start_date_time", 30), distinct_left=False
-    )
+    joined = disjunctive_left_join(events, opps, arms, within_days=("opened", "start_date_time", 30))
     return joined.select("event_id", "start_date_time", "opportunity_id", "opened")
 
 

@@ -38,7 +38,7 @@ def databases(spark):
     off = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"}
     for key, value in off.items():
         spark.conf.set(key, value)
-    yield Warehouse(spark)
+    yield Warehouse(spark, buckets=0)
     for key in off:
         spark.conf.unset(key)
 

@@ -118,3 +118,27 @@ def test_unknown_delta(spark, databases):
     build_model("affected_keys")
     with pytest.raises(ValueError):
         build_model("sideways")
+
+
+def test_rows_committed_late_are_staged(spark, databases):
+    """A raw row with a stamp before the last run, committed after it."""
+    w, spec = databases, STAGING_MODELS["account"]
+    schema = ENTITIES["account"].schema()
+    row = lambda i: (i, "name", None, None, None, LOAD1)
+    w.upsert("raw.account", spark.createDataFrame([row("1")], schema), "account_id", loaded_at=LOAD1)
+    run_model(w, spec, RUN1)
+    w.upsert("raw.account", spark.createDataFrame([row("2")], schema), "account_id", loaded_at=RUN1 - timedelta(minutes=30))
+    run_model(w, spec, RUN2)
+    assert rows(w.read(spec.table).select("account_id")) == [("1",), ("2",)]
+
+
+def test_tracked_versions_are_forgotten(spark, databases):
+    w = Warehouse(spark, buckets=2)
+    load(w, random_tables(5, LOAD1), LOAD1)
+    build_all(w, RUN1)
+    load(w, random_changes(6, LOAD2), LOAD2)
+    build_all(w, RUN2)
+    build_all(w, RUN2 + timedelta(hours=1))
+    for table in tables_in(spark, "staging"):
+        if table.endswith("__before"):
+            assert w.read(f"staging.{table}").count() == 0, table

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from leadmill.operators.rejects import write_reject_log
-from leadmill.plans.flow import clean_all, load_all, read_state, watermark_of, write_clean_batches
+from leadmill.plans.flow import clean_all, load_all, load_batch, read_state, watermark_of, write_clean_batches
 from leadmill.registry import ENTITIES, STAMP
 from leadmill.sources.batches import added_files, change_summary, discover_batches, list_files, read_cleaned, read_entity
 from leadmill.streaming.ingest import ingest
@@ -73,9 +73,9 @@ def test_load_all(spark, databases, landing):
     w = databases
     results, summary = load_all(w, str(landing), AT1, entities=("opportunity", "lead"))
     assert summary.first().asDict() == dict(
-        tables_processed=2, tables_successful=1, tables_with_new_files=1, load_success=1, total_files_loaded=2
+        tables_processed=2, tables_successful=2, tables_with_new_files=1, load_success=1, total_files_loaded=2
     )
-    assert "PATH_NOT_FOUND" in results.where("status = 'error'").first()["error"]
+    assert results.where("table = 'lead'").first()["load_status"] == "skipped"
     assert state_of(w) == [
         ("1", f"deal {B1}", "10.00", str(AT1)), ("2", f"deal {B2}", "25.00", str(AT1)),
         ("3", f"deal {B2}", "None", str(AT1)),
@@ -114,16 +114,17 @@ def test_corrupt_files_are_listed(spark, databases, landing):
     results, _ = load_all(w, str(landing), AT1, entities=("opportunity",), skip_corrupt=True)
     assert results.first()["status"] == "success" and len(state_of(w)) == 3
     errors = rows(w.read("raw.load_errors").select("message", "batch_id"))
-    assert errors == [("cannot read amount as decimal(15,2)", B2), ("no readable rows", B3)]
+    assert errors == [("cannot read amount as decimal(15,2)", B2), ("unreadable file", B3)]
 
 
 def test_clean_all(spark, landing, tmp_path):
     out = str(tmp_path / "out")
-    reports, newest = clean_all(spark, str(landing), out, entities=("opportunity",))
-    assert [r.ok for r in reports] == [True] and newest == B2
+    run = clean_all(spark, str(landing), out, entities=("opportunity", "lead"))
+    assert [r.ok for r in run.reports] == [True] and run.newest == B2
+    assert run.skipped == ["lead"] and run.errors == {}
     land(landing, B3, {"1": "11.00"}, EXTRA="x")
-    reports, newest = clean_all(spark, str(landing), out, after=newest, entities=("opportunity",))
-    assert reports[0].extra == ["extra"] and newest == B3
+    run = clean_all(spark, str(landing), out, after=run.newest, entities=("opportunity",))
+    assert run.reports[0].extra == ["extra"] and run.newest == B3
     got = read_cleaned(spark, out, "opportunity")
     assert rows(got.groupBy("batch_id").count()) == [(B1, 2), (B2, 2), (B3, 1)]
     assert rows(read_cleaned(spark, out, "opportunity", B2).select("batch_id")) == [(B3,)]
@@ -160,3 +161,113 @@ def test_clean_batches_and_reject_log(spark, landing, tmp_path):
     write_reject_log(clean.select(F.lit("f").alias("file_path"), F.lit(2).alias("count")).limit(1), str(log))
     (part,) = log.glob("part-*.json")
     assert json.loads(part.read_text()) == {"file_path": "f", "count": 2}
+
+
+def test_one_broken_part_of_a_folder_is_listed_and_not_counted(spark, databases, tmp_path):
+    root = tmp_path / "landing"
+    land(root, B1, {"1": "1.00"})
+    land(root, B2, {"2": "2.00"})
+    land(root, B3, {})
+    whole = root / B1 / "opportunity.parquet"
+    parts = root / B1 / "parts"
+    parts.mkdir()
+    whole.rename(parts / "part-0.parquet")
+    (root / B2 / "opportunity.parquet").rename(parts / "part-1.parquet")
+    (parts / "part-2.parquet").write_bytes(b"PAR1 no parquet at all PAR1")
+    parts.rename(whole)
+    (root / B2).rmdir()
+    results, _ = load_all(databases, str(root), AT1, entities=("opportunity",), skip_corrupt=True)
+    row = results.first()
+    assert (row["status"], row["new_files"], row["loaded_files"]) == ("success", 4, 3)
+    assert [r[0] for r in state_of(databases)] == ["1", "2"]
+    # The empty file of the last batch is no broken one.
+    errors = rows(databases.read("raw.load_errors").select("file_path", "message", "batch_id"))
+    assert [(e[0].rsplit("/", 1)[1], *e[1:]) for e in errors] == [("part-2.parquet", "unreadable file", B1)]
+
+
+def test_batches_of_other_types_load_together(spark, databases, landing):
+    folder = landing / B3
+    folder.mkdir()
+    when = [datetime(2025, 6, 2)]
+    odd = pa.table(
+        {
+            "opportunity_id": ["5"], "AMOUNT": pa.array([7.5], pa.float64()), "CLOSE_DATE": pa.array(when, pa.timestamp("us")),
+            "CREATED_DATE": pa.array(when, pa.timestamp("us")), "STAGE_NAME": ["Proposal"],
+        }
+    )
+    pq.write_table(odd, folder / "opportunity.parquet")
+    results, _ = load_all(databases, str(landing), AT1, entities=("opportunity",))
+    assert results.first()["status"] == "success", results.first()["error"]
+    assert [r[:3] for r in state_of(databases)][-1] == ("5", "None", "7.50")
+    assert databases.read("raw.opportunity").where("opportunity_id = '5'").first()["close_date"] == when[0]
+
+
+def test_old_broken_files_are_not_opened(spark, landing):
+    (landing / B1 / "opportunity.parquet").write_bytes(b"broken since")
+    newer = read_entity(spark, str(landing), "opportunity", after=B1)
+    assert rows(newer.select("OPPORTUNITY_ID")) == [("2",), ("3",)]
+    with pytest.raises(ValueError, match="unreadable"):
+        read_entity(spark, str(landing), "opportunity")
+
+
+def test_each_batch_is_judged_by_its_own_columns(spark, landing, tmp_path):
+    folder = landing / B3
+    folder.mkdir()
+    table = pq.read_table(landing / B2 / "opportunity.parquet").drop_columns(["CAMPAIGN_ID"])
+    pq.write_table(table, folder / "opportunity.parquet", version="2.6")
+    run = clean_all(spark, str(landing), str(tmp_path / "out"), entities=("opportunity",))
+    assert [(r.batches, r.missing) for r in run.reports] == [((B1, B2), []), ((B3,), ["campaign_id"])]
+
+
+def test_cleaned_batches_keep_columns_that_come_later(spark, landing, tmp_path):
+    out = str(tmp_path / "out")
+    land(landing, B3, {"1": "11.00"}, EXTRA="x")
+    clean_all(spark, str(landing), out, entities=("opportunity",))
+    got = read_cleaned(spark, out, "opportunity")
+    assert rows(got.select("batch_id", "extra")) == sorted([(B1, None)] * 2 + [(B2, None)] * 2 + [(B3, "x")], key=repr)
+
+
+def test_a_failing_entity_does_not_stop_the_others(spark, landing, tmp_path):
+    (landing / B1 / "lead.parquet").write_bytes(b"broken")
+    run = clean_all(spark, str(landing), str(tmp_path / "out"), entities=("lead", "opportunity"))
+    assert list(run.errors) == ["lead"] and run.newest is None
+    assert read_cleaned(spark, str(tmp_path / "out"), "opportunity").count() == 4
+
+
+def test_rejects_of_a_corrected_file_go(spark, databases, landing):
+    w, spec = databases, ENTITIES["opportunity"]
+    load = lambda at: load_batch(w, spec, read_entity(spark, str(landing), "opportunity"), at)
+    load(AT1)
+    assert w.read("raw.load_errors").count() == 1
+    land(landing, B2, {"2": "25.00", "3": "3.00"})
+    spark.catalog.clearCache()
+    load(AT2)
+    assert w.read("raw.load_errors").count() == 0
+    # Two files of one batch that come one after the other keep a line each.
+    for name in ("a", "b"):
+        raw = read_entity(spark, str(landing), "opportunity", after=B1).withColumn("AMOUNT", F.lit("bad"))
+        load_batch(w, spec, raw.withColumn("file_path", F.concat("file_path", F.lit(f"/part-{name}.parquet"))), AT2)
+    assert w.read("raw.load_errors").count() == 2
+
+
+def test_an_older_batch_does_not_undo_a_newer_one(spark, databases, landing, tmp_path):
+    w, spec, checkpoint = databases, ENTITIES["opportunity"], str(tmp_path / "checkpoint")
+    land(landing, B3, {"1": "30.00"})
+    ingest(w, str(landing), spec, checkpoint, loaded_at=lambda: AT1)
+    streamed = state_of(w)
+    late = "2025-05-31_235959"
+    land(landing, late, {"1": "20.00", "2": "9.00"})
+    ingest(w, str(landing), spec, checkpoint, loaded_at=lambda: AT2)
+    assert state_of(w) == streamed
+    assert rows(w.read("raw.opportunity").select("opportunity_id", "batch_id")) == [("1", B3), ("2", B2), ("3", B2)]
+    w.drop("raw.opportunity")
+    w.drop("raw.load_errors")
+    load_all(w, str(landing), AT1, entities=("opportunity",))
+    assert state_of(w) == streamed
+
+
+def test_rejects_go_to_the_log(spark, databases, landing, tmp_path, caplog):
+    load_all(databases, str(landing), AT1, entities=("opportunity",), reject_log=str(tmp_path / "log"))
+    assert "cannot read amount" in caplog.text
+    (part,) = (tmp_path / "log").glob("part-*.json")
+    assert json.loads(part.read_text())["batch_id"] == B2

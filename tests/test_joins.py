@@ -35,20 +35,20 @@ def sides(spark):
 def test_or_of_equalities(sides):
     a, b = sides
     plain = a.join(b, (a.c == b.rc) | (a.l == b.rc), "left")
-    same_rows(disjunctive_left_join(a, b, ["id"], [[("c", "rc")], [("l", "rc")]], distinct_left=False), plain)
+    same_rows(disjunctive_left_join(a, b, [[("c", "rc")], [("l", "rc")]]), plain)
 
 
 def test_equality_and_or(sides):
     a, b = sides
     plain = a.join(b, (a.g == b.rg) & ((a.c == b.rc) | (a.l == b.rl)), "left")
     arms = [[("g", "rg"), ("c", "rc")], [("g", "rg"), ("l", "rl")]]
-    same_rows(disjunctive_left_join(a, b, ["id"], arms), plain)
+    same_rows(disjunctive_left_join(a, b, arms), plain)
 
 
 def test_left_key_may_repeat(sides):
     a, b = sides
     plain = a.join(b, (a.c == b.rc) | (a.l == b.rl), "left")
-    same_rows(disjunctive_left_join(a, b, ["c", "l"], [[("c", "rc")], [("l", "rl")]]), plain)
+    same_rows(disjunctive_left_join(a, b, [[("c", "rc")], [("l", "rl")]]), plain)
 
 
 @pytest.mark.parametrize("days", [0, 1, 5, 30])
@@ -56,7 +56,7 @@ def test_interval(sides, days):
     a, b = sides
     inside = F.to_date(b.rt).between(F.to_date(a.t), F.date_add(F.to_date(a.t), days))
     plain = a.join(b, ((a.c == b.rc) | (a.l == b.rc)) & inside, "left")
-    out = disjunctive_left_join(a, b, ["id"], [[("c", "rc")], [("l", "rc")]], within_days=("rt", "t", days))
+    out = disjunctive_left_join(a, b, [[("c", "rc")], [("l", "rc")]], within_days=("rt", "t", days))
     same_rows(out, plain)
     assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
 

@@ -4,14 +4,13 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+import leadmill.workload.operator_queries  # noqa: F401 - registers its queries
 from leadmill.operators.conform import clean
 from leadmill.operators.watermarks import newer_than
 from leadmill.registry import ENTITIES
-from leadmill.workload.queries import Tables
+from leadmill.workload.queries import QUERIES, Tables
 from test_oracle import DIR
 
-QUERIES = entry.queries()
 WITH_HOT_KEYS = {"fact_marketing_performance", "fct_daily_performance", "fanout_left_join", "dq_keys", "dq_columns"}
 
 

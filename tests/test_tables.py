@@ -1,3 +1,4 @@
+import os
 from datetime import datetime
 
 import pytest
@@ -131,3 +132,35 @@ def test_publish(spark, databases, mode):
     got = rows(w.read("raw.campaign").select("campaign_id", "status", STAMP))
     kept = [("2", None, DAY1)] if mode == "upsert" else []
     assert got == [("1", "Completed", DAY2), *kept]
+
+
+def test_recovery_after_a_lost_driver(spark, databases):
+    """The next version is complete, the table is out of the catalog, its folder holds half a file."""
+    w = databases
+    w.write("raw.t", spark.range(3).withColumn("p", F.col("id") % 2), ["p"])
+    w.write("raw.t__next", spark.range(5).withColumn("p", F.col("id") % 2), ["p"])
+    folder = spark.sql("DESCRIBE EXTENDED raw.t").where("col_name = 'Location'").first()["data_type"].removeprefix("file:")
+    w.drop("raw.t")
+    os.makedirs(f"{folder}/p=0", exist_ok=True)
+    with open(f"{folder}/p=0/part-0.parquet", "wb") as half:
+        half.write(b"PAR1")
+    w.upsert("raw.t", spark.createDataFrame([(9, 1)], "id long, p long"), "id", partition_by=["p"])
+    assert rows(w.read("raw.t").select("id")) == [(i,) for i in (0, 1, 2, 3, 4, 9)]
+    assert tables_in(spark, "raw") == ["t"]
+
+
+def test_a_delta_writes_its_rows_once(spark, databases):
+    w = Warehouse(spark, buckets=4)
+    w.upsert("raw.t", spark.range(1000).withColumn("v", F.lit(0)), "id", bucket_key="id")
+    before = {r[0] for r in spark.table("raw.t").select(F.input_file_name()).distinct().collect()}
+    written = []
+    plain = Warehouse.write
+    try:
+        Warehouse.write = lambda self, table, df, *a, **k: (written.append(table), plain(self, table, df, *a, **k))[1]
+        w.upsert("raw.t", spark.createDataFrame([(3, 7)], "id long, v int"), "id")
+    finally:
+        Warehouse.write = plain
+    after = {r[0] for r in spark.table("raw.t").select(F.input_file_name()).distinct().collect()}
+    assert not any(t.endswith("__next") for t in written)
+    assert len(before & after) == 3, "only one of four parts is rewritten"
+    assert w.read("raw.t").agg(F.sum("v"), F.count("*")).first() == (7, 1000)
