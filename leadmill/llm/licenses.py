@@ -82,14 +82,16 @@ PHRASINGS: tuple[tuple[float, tuple[str, ...]], ...] = (
     (0.5, (r"(?:{0}) (?:licensed|version|v) ?\d*", r"(?:{0})(?: \d+)+")),
 )
 BASE_WEIGHT = 0.9
+# Licenses whose names are also plain words; a number behind them means nothing.
+AMBIGUOUS = frozenset({"mit", "mit-0", "isc", "artistic-2", "bsl", "zlib", "unlicense"})
 # One of these stands in every text that a rule can match.
 KEYWORDS = (
-    "licen gpl mit apache asl cc0 cc#by cc#zero creative#commons bsd mpl mozilla epl eupl cddl bsl boost artistic isc zlib "
-    "x11 expat wtfpl odbl ofl gfdl public#domain affero berkeley"
-).split()
+    " licen", "spdx ", "under the terms of ", "ed under ", "available under ",
+    " cc ", " cc0 ", " creative commons ", "domain dedication ", "gpl", " gfdl ", " apache ", " asl ", " bsd ", " 0bsd ",
+    " mpl", " epl ", " eupl ", " cddl ", " wtfpl ", " odbl ", " ofl ", "software distribution ",
+)
 
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_UPPER, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def rules() -> list[tuple[int, str, str]]:
@@ -99,16 +101,26 @@ def rules() -> list[tuple[int, str, str]]:
         for priority, (_, phrasings) in enumerate(PHRASINGS)
         for label, names in FAMILIES
         for phrasing in phrasings
+        if priority < len(PHRASINGS) - 1 or label not in AMBIGUOUS
     ]
 
 
+def tried(priority: int) -> str:
+    """All rules of a priority as one pattern: what phrasings share is tried once for all licenses, in their order."""
+    last = priority == len(PHRASINGS) - 1
+    names = "|".join(names for label, names in FAMILIES if not last or label not in AMBIGUOUS)
+    return _any([phrasing.format(names) for phrasing in PHRASINGS[priority][1]])
+
+
 def _any(patterns: Sequence[str]) -> str:
     return r"(?<= )(?:" + "|".join(f"(?:{p})" for p in patterns) + r")(?= )"
 
 
 def spaced(text: Column) -> Column:
     """The words of a text in lower case, with one space before, between and after them; no words: one space."""
-    small = F.translate(F.coalesce(text.cast("string"), F.lit("")), _UPPER, _SMALL)
+    # Beyond A-Z this also lowers other letters. It turns none of them into a word of the base phrases (the one
+    # letter that becomes a bare ASCII one is the kelvin sign, a k) and does not change where words begin and end.
+    small = F.lower(F.coalesce(text.cast("string"), F.lit("")))
     return F.regexp_replace(F.concat(F.lit(" "), small, F.lit(" ")), _BETWEEN, " ")
 
 
@@ -128,7 +140,7 @@ def scan(docs: DataFrame) -> DataFrame:
     has = lambda text: F.contains(F.col("words"), F.lit(text))
     gate = F.lit(False)
     for keyword in KEYWORDS:
-        gate = gate | has(keyword.replace("#", " "))
+        gate = gate | has(keyword)
     gated = words.select("doc_id", (_blanks(F.col("words")) - 1).alias("n_words"), F.when(gate, F.col("words")).alias("words"))
 
     places, firsts, lasts, base = [], [], [], []
@@ -154,7 +166,7 @@ def scan(docs: DataFrame) -> DataFrame:
     )
     family = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(_any([names])).alias("names")) for label, names in FAMILIES])
     for priority, (weight, _) in enumerate(PHRASINGS):
-        pattern = _any([p for own, _, p in rules() if own == priority])
+        pattern = tried(priority)
         rest = F.col("words") if priority == 0 else F.col(f"rest{priority - 1}")
         hits = F.when(rest.isNotNull(), F.array_distinct(F.regexp_extract_all(rest, F.lit(pattern), F.lit(0))))
         step = step.withColumns({f"hits{priority}": hits, f"rest{priority}": F.regexp_replace(rest, pattern, "#")})
