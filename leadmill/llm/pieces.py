@@ -96,7 +96,7 @@ class Encoder:
         self.codes = codes[self.order]
         self.maybe = np.zeros(1 << 22, bool)
         self.maybe[self.codes & np.uint64((1 << 22) - 1)] = True
-        self.pair_key, self.pair_good = np.zeros(1 << 20, np.uint64), np.zeros(1 << 20, bool)
+        self.pair_key, self.pair_good = np.zeros(1 << 22, np.uint64), np.zeros(1 << 22, bool)
         self.clear()
 
     def clear(self) -> None:
@@ -139,9 +139,30 @@ class Encoder:
         if pair not in self.kept:
             if len(self.kept) > PAIRS:
                 self.kept.clear()
-            self.kept[pair] = self.merged((left or "") + right) == [x for x in pair if x is not None]
+            self.kept[pair] = self._left_alone(left or "", right)
         return self.kept[pair]
 
+    def _left_alone(self, left: str, right: str) -> bool:
+        """merged() of both, given up as soon as it joins a part of ``left`` with one of ``right``."""
+        parts, score, edge = list(left + right), self.v.score.get, len(left)
+        joins = [score(a + b) for a, b in zip(parts, parts[1:])]
+        while True:
+            best, at = None, -1
+            for i, own in enumerate(joins):
+                if own is not None and (best is None or own > best):
+                    best, at = own, i
+            if best is None:
+                return len(parts) == 1 + (edge > 0)
+            if at == edge - 1:
+                return False
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            edge -= at < edge
+            del joins[at]
+            if at:
+                joins[at - 1] = score(parts[at - 1] + parts[at])
+            if at < len(joins):
+                joins[at] = score(parts[at] + parts[at + 1])
+
     def reach(self, text: str, start: int, before: str | None) -> list[str | None]:
         """For each end, the last piece of the path from ``start`` after the piece ``before``; None if there is none.
 
@@ -588,11 +609,11 @@ def encode_with_check(docs: DataFrame, known: Broadcast, chunk: int = CHUNK) ->
 
 
 def digests(docs: DataFrame, known: Broadcast, chunk: int = CHUNK) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_tokens, ids_sha256 (of the ids as decimal numbers with spaces between), decoded_sha256, exact."""
+    """Per row of ``docs``: doc_id, n_tokens, ids_sha256 (of the ids as 4 little-endian bytes each), decoded_sha256, exact."""
 
     def finish(doc_id, sha, ids, ends):
-        spelled = pa.array(ids).cast(pa.string()).to_pylist()
-        of_ids = [hashlib.sha256(" ".join(spelled[a:b]).encode()).hexdigest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+        plain = np.ascontiguousarray(ids, "<i4")
+        of_ids = [hashlib.sha256(plain[a:b]).hexdigest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
         decoded = _decoded(known, ids, ends)
         return [doc_id, pa.array(np.diff(ends)), pa.array(of_ids, pa.string()), decoded, pc.equal(decoded, sha)]
 
