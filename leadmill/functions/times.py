@@ -70,17 +70,21 @@ def calendar_parts(d: Column) -> dict[str, Column]:
     return {name: c.cast("bigint") for name, c in parts.items()}
 
 
+# What the time column of an entity without a declared one is called.
+DATE_SUFFIX, STAMP_SUFFIX, NO_DATE = "_DATE", "_ts", "generic_date_ts"
+
+
 def first_date_field(df: DataFrame) -> Column:
     """The first column whose name ends in ``_DATE`` as a timestamp named ``<column>_ts``.
 
     Integer columns hold epoch nanoseconds. Without such a column: NULL as ``generic_date_ts``.
     """
     for field in df.schema.fields:
-        if field.name.upper().endswith("_DATE"):
+        if field.name.upper().endswith(DATE_SUFFIX):
             value = F.col(field.name)
             if isinstance(field.dataType, (T.LongType, T.IntegerType)):
                 value = epoch_ns_to_ts(value.cast("bigint"))
             else:
                 value = value.cast("timestamp_ntz")
-            return value.alias(f"{field.name.lower()}_ts")
-    return F.lit(None).cast("timestamp_ntz").alias("generic_date_ts")
+            return value.alias(f"{field.name.lower()}{STAMP_SUFFIX}")
+    return F.lit(None).cast("timestamp_ntz").alias(NO_DATE)

@@ -15,11 +15,15 @@ def flag(c: Column, value: str) -> Column:
     return c == F.lit(value)
 
 
+# What an event can have led to.
+HAS_OPPORTUNITY, HAS_LEAD, HAS_CONTACT, NO_LINK = "Has Opportunity", "Has Lead", "Has Contact", "No Link"
+
+
 def outcome_label(opportunity: Column, lead: Column, contact: Column) -> Column:
     """What an event led to, by the strongest link present."""
     return (
-        F.when(opportunity.isNotNull(), "Has Opportunity")
-        .when(lead.isNotNull(), "Has Lead")
-        .when(contact.isNotNull(), "Has Contact")
-        .otherwise("No Link")
+        F.when(opportunity.isNotNull(), HAS_OPPORTUNITY)
+        .when(lead.isNotNull(), HAS_LEAD)
+        .when(contact.isNotNull(), HAS_CONTACT)
+        .otherwise(NO_LINK)
     )

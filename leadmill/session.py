@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -42,12 +44,13 @@ def build_session(app_name: str = "leadmill", master: str | None = None, **conf:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
-    Only a local session without that setting falls back to a folder of its own machine.
+    Only a local session without that setting falls back to a folder of its own machine, which goes when it ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="leadmill-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(base)
     return os.path.join(base, f"leadmill-{purpose}-{uuid.uuid4().hex}")

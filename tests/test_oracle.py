@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-import leadmill.workload.operator_queries  # noqa: F401 - registers its queries
+import leadmill.workload.flow_queries  # noqa: F401 - registers its queries and those it builds on
 from leadmill.workload.queries import ORACLE, QUERIES
 
 DIR = "/root/testdata/sf0.001"
