@@ -64,3 +64,14 @@ def test_models_read_only_the_columns_they_use(spark):
 def test_distinct_counts_do_not_copy_the_input(spark):
     for name in ("dim_campaign_performance", "dim_contact_engagement", "fct_campaign_performance", "conditional_distinct"):
         assert "Expand" not in plan_of(QUERIES[name](spark, DIR)), name
+
+
+@pytest.mark.parametrize("name", ["disjunctive_left_join", "equi_or_join", "interval_or_join"])
+def test_either_or_joins_have_no_matches_on_the_right(spark, no_broadcast, name):
+    """Spark cannot split a hot key on the right of a left join."""
+    plan = plan_of(QUERIES[name](spark, DIR))
+    assert "LeftOuter" not in plan and "LeftAnti" in plan
+
+
+def test_days_are_not_gathered(spark):
+    assert "collect_list" not in plan_of(QUERIES["fct_daily_performance"](spark, DIR))
