@@ -162,8 +162,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ensemble:
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     chosen = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # as many rows as the sample
     learn = statistics(chosen, "label")
-    learn = written(learn.select(*STATISTICS, "label", F.xxhash64("doc_id").alias("order")), "quality")
-    learn = learn.repartition(4, "order").sortWithinPartitions("order")
+    learn = written(learn.select(*STATISTICS, "label"), "quality")
+    learn = learn.coalesce(4)  # a few MB at most
     ones, total = learn.agg(F.sum("label"), F.count("*")).first()
     if not total or ones in (0, total):
         share = 0.5 if not total else min(max(ones / total, 1e-6), 1 - 1e-6)
