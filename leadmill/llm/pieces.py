@@ -84,6 +84,10 @@ class Encoder:
         pairs = np.array([[ord(a), ord(b)] for p in vocabulary.id for a, b in zip(p, p[1:])], np.uint64).reshape(-1, 2)
         self.spanned = np.zeros(1 << 22, bool)
         self.spanned[self._pair(pairs[:, 0], pairs[:, 1])] = True
+        # characters that stand in a piece, and those among them that are one
+        self.within, self.alone = np.zeros(0x110000, bool), np.zeros(0x110000, bool)
+        self.within[np.unique([ord(c) for p in vocabulary.id for c in p]).astype(np.int64)] = True
+        self.alone[[ord(p) for p in vocabulary.id if len(p) == 1]] = True
         # pieces (True) and their beginnings
         self.match = {p[:k]: False for p in vocabulary.id for k in range(1, len(p))} | dict.fromkeys(vocabulary.id, True)
         self.kept: dict[tuple[str | None, str], bool] = {}
@@ -116,9 +120,13 @@ class Encoder:
         return (mixed(a << np.uint64(32) | b) >> np.uint64(42)).astype(np.int64)
 
     def cuts(self, points: np.ndarray) -> np.ndarray:
-        """For each place between two characters, whether no piece can span it."""
-        wide = points.astype(np.uint64)
-        return ~self.spanned[self._pair(wide[:-1], wide[1:])]
+        """For each place between two characters, whether no piece can span it.
+
+        Pairs are looked up by hash, so places beside pieces' characters may be missed; a place beside a character that
+        stands in no piece never is.
+        """
+        wide, strange = points.astype(np.uint64), ~self.within[points]
+        return ~self.spanned[self._pair(wide[:-1], wide[1:])] | strange[:-1] | strange[1:]
 
     def merged(self, text: str) -> list[str]:
         """The definition: merge the neighbours whose join has the best score, the first of equals, while there are any."""
@@ -271,10 +279,11 @@ class Encoder:
         order = np.argsort(-size, kind="stable")
         code, start, stop, size = code[order], start[order], stop[order], size[order]
         long = int(np.searchsorted(-size, -SHORT_UNIT, "left"))
-        single = size == 1  # perhaps a character without a piece
-        many = ~single
+        # _paths() knows pieces only, so units that hold a character without one are traced one by one, as long ones are
+        missing = np.concatenate([[0], np.cumsum(~self.alone[points])])
+        many = missing[stop] == missing[start]
         many[:long] = False
-        ids, counts = [], np.zeros(len(start), np.int64)
+        counts = np.zeros(len(start), np.int64)
         slow = np.flatnonzero(~many)
         by_hand = [self.unit(joined[a:b]) for a, b in zip(start[slow].tolist(), stop[slow].tolist())]
         counts[slow] = [len(x) for x in by_hand]
@@ -282,11 +291,11 @@ class Encoder:
             found, counts[many] = self._paths(sums, start[many], size[many])
         else:
             found = np.zeros(0, np.int32)
-        head = int((~many[:long]).sum())
-        ids = [i for x in by_hand[:head] for i in x], found, [i for x in by_hand[head:] for i in x]
+        ids, batched = np.zeros(counts.sum(), np.int32), np.repeat(many, counts)
+        ids[batched], ids[~batched] = found, [i for x in by_hand for i in x]
         place = np.arange(len(start)) + len(self.begin) - 1
         self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(counts)])
-        self.flat = np.concatenate([self.flat, *(np.asarray(x, np.int32) for x in ids)])
+        self.flat = np.concatenate([self.flat, ids])
         known, where = np.concatenate([self.known, code]), np.concatenate([self.place, place.astype(np.int32)])
         order = np.argsort(known, kind="stable")
         self.known, self.place = known[order], where[order]
