@@ -2,7 +2,7 @@
 
 A document's features are the distinct words, word pairs, pairs with one word left out, and triples of its whole
 text, hashed to ``2 ** BITS`` places. Learning runs over a bounded sample of labelled documents, cut into shards
-that learn side by side; after each round the shards' states are averaged place by place and go into the next
+that learn side by side; after each round the shards' whole states are averaged place by place and go into the next
 round. L1 leaves most weights at zero, so the model that scores all documents is a short list of at most
 ``2 ** BITS`` places, whatever the size of the corpus.
 """
@@ -27,9 +27,9 @@ KINDS = ((1, 0), (2, 0), (2, 1), (3, 0))
 SAMPLE = 16_384
 # Documents of a shard, at most, and passes over all shards.
 SHARD, ROUNDS = 4096, 4
+# Up to so many shards' changes are added up on the driver, at most 2 ** BITS + 1 places each; more are summed before.
+DIRECT = SAMPLE // SHARD
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.0
-# Between rounds a shard forgets places whose gradients are so far from outweighing L1.
-FORGET = L1 / 2
 CUT = 0.7
 
 
@@ -84,13 +84,14 @@ class Model:
 
 
 def learner(before: Broadcast) -> Callable[[pa.Table], pa.Table]:
-    """A pass over a shard, from the given state: the state after it, where it is not zero."""
+    """A pass over a shard, from the given state: by how much it changes it, at every place that it changes."""
     size = (1 << BITS) + 1
 
     def run(rows: pa.Table) -> pa.Table:
         at, at_z, at_n = before.value
         z, n = np.zeros(size), np.zeros(size)
         z[at], n[at] = at_z, at_n
+        old_z, old_n = z.copy(), n.copy()
         order = np.argsort(rows.column("order").to_numpy(), kind="stable")
         rows = rows.take(pa.array(order))
 
@@ -104,8 +105,10 @@ def learner(before: Broadcast) -> Callable[[pa.Table], pa.Table]:
                     yield pair[a:b] & ((1 << BITS) - 1), label
 
         learn(examples(), z, n)
-        used = np.flatnonzero(np.abs(z) > FORGET)
-        return pa.table({"place": used.astype(np.int32), "z": z[used], "n": n[used]})
+        z -= old_z
+        n -= old_n
+        moved = np.flatnonzero((z != 0) | (n != 0))
+        return pa.table({"place": moved.astype(np.int32), "z": z[moved], "n": n[moved]})
 
     return run
 
@@ -127,14 +130,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     size = (1 << BITS) + 1
     z, n = np.zeros(size), np.zeros(size)
     for _ in range(ROUNDS):
-        start = np.flatnonzero(n)
+        start = np.flatnonzero((z != 0) | (n != 0))
         before = spark.sparkContext.broadcast((start, z[start], n[start]))
-        states = chosen.groupBy("shard").applyInArrow(learner(before), "place int, z double, n double")
-        mean = states.groupBy("place").agg((F.sum("z") / shards).alias("z"), (F.sum("n") / shards).alias("n"))
-        state = mean.toArrow()  # at most 2 ** BITS + 1 rows
-        z, n = np.zeros(size), np.zeros(size)
-        at = state.column("place").to_numpy()
-        z[at], n[at] = state.column("z").to_numpy(), state.column("n").to_numpy()
+        changes = chosen.groupBy("shard").applyInArrow(learner(before), "place int, z double, n double")
+        if shards > DIRECT:
+            changes = changes.groupBy("place").agg(F.sum("z").alias("z"), F.sum("n").alias("n"))
+        change = changes.toArrow()
+        # the mean of all shards' states: a shard without a place leaves it as it was
+        at = change.column("place").to_numpy()
+        np.add.at(z, at, change.column("z").to_numpy() / shards)
+        np.add.at(n, at, change.column("n").to_numpy() / shards)
         before.unpersist()
     w = weights(z, n)
     bias = float(w[-1])

@@ -52,6 +52,41 @@ def test_one_step_is_the_formula():
     assert toxicity.weights(np.array([-toxicity.L1, -toxicity.L1 - 1]), np.array([1.0, 1.0])).tolist() == [0, pytest.approx(1 / ((toxicity.BETA + 1) / toxicity.ALPHA + toxicity.L2))]
 
 
+@pytest.mark.parametrize("direct", [4, 1])
+def test_evidence_is_gathered_over_shards_and_rounds(spark, monkeypatch, direct):
+    """Words that mark a few toxic documents of one shard, or two of every shard, weigh what plain averaging gives."""
+    monkeypatch.setattr(toxicity, "SHARD", 150)
+    monkeypatch.setattr(toxicity, "DIRECT", direct, raising=False)
+    ids = spark.range(600).select("id", F.xxhash64("id").alias("order"), F.expr("pmod(xxhash64(id), 4)").alias("shard"))
+    ids = sorted((r["order"], r["id"], r["shard"]) for r in ids.collect())
+    rng, rows, seen = random.Random(4), [], [0] * 4
+    for order, i, shard in ids:
+        body = [rng.choice(CLEAN) for _ in range(20)]
+        toxic, seen[shard] = int(seen[shard] < 7), seen[shard] + 1
+        if toxic:
+            body.insert(3, "everywhere" if seen[shard] <= 2 else "oneshard" if shard == 2 else "common")
+        rows.append((i, " ".join(body), toxic, shard))
+    docs = spark.createDataFrame([(i, t) for i, t, *_ in rows], "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(i, y) for i, _, y, _ in rows], "doc_id long, label int"))
+
+    def places(text):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        return np.unique(toxicity.features(raw, np.array([0, len(raw)]))[1])
+
+    size = (1 << toxicity.BITS) + 1
+    z, n = np.zeros(size), np.zeros(size)
+    for _ in range(toxicity.ROUNDS):
+        states = [(z.copy(), n.copy()) for _ in range(4)]
+        for k, state in enumerate(states):
+            toxicity.learn([(places(t), y) for _, t, y, shard in rows if shard == k], *state)
+        z, n = np.mean([s[0] for s in states], axis=0), np.mean([s[1] for s in states], axis=0)
+    want = toxicity.weights(z, n)
+    assert model.places.tolist() == np.flatnonzero(want[:-1]).tolist()
+    assert model.weights == pytest.approx(want[model.places], rel=1e-5)
+    assert model.bias == pytest.approx(want[-1])
+    assert want[places("everywhere")[0]] > 0
+
+
 @pytest.mark.parametrize("operator", [toxicity, quality])
 def test_nothing_to_learn_from(spark, operator):
     docs, labels = frames(spark, 8)
