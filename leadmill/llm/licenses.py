@@ -1,9 +1,11 @@
 """License scans: ordered signature rules over normalised words, behind a keyword prefilter.
 
-A rule is a license's name in one of several phrasings. Rules have three priorities: identifiers and grants with a
+A rule is a license's name in one of several phrasings, or a passage of its own text. Rules with names have three
+priorities: identifiers and grants with a
 version, then names with the word license, then bare names. All rules of a priority are tried in one pass from left
 to right, the more specific ones first; what they match is taken out before the next priority is tried. So a
 detection that lies inside one of higher priority, or inside a longer one that begins before it, is suppressed.
+Passages of license texts hold no names, so they are looked for by themselves.
 Everything is a column expression over one row: nothing is shuffled and no Python runs.
 """
 
@@ -84,11 +86,45 @@ PHRASINGS: tuple[tuple[float, tuple[str, ...]], ...] = (
 BASE_WEIGHT = 0.9
 # Licenses whose names are also plain words; a number behind them means nothing.
 AMBIGUOUS = frozenset({"mit", "mit-0", "isc", "artistic-2", "bsl", "zlib", "unlicense"})
+BARE_NUMBER = PHRASINGS[-1][1][-1]
+
+_BSD = "redistribution and use in source and binary forms with or without modification (?:are|is) permitted"
+_NEITHER = r"neither the names? (?:of )?.{1,200}? may be used to endorse or promote products|may not be used to endorse or promote products|without specific prior written permission"
+_ADVERTISING = "all advertising materials mentioning features"
+_BINARY = "redistributions in binary form must reproduce the above copyright notice"
+_MIT = "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"
+_MIT_NOTICE = "the above copyright notice and this permission notice(?: including the next paragraph)? shall be included"
+_ISC = "permission to use copy modify and (?:and )?(?:or )?distribute this software for any purpose with or without fee is hereby granted"
+# Passages of license texts: label, a phrase that stands in every text that has one, pattern. How far a license's text
+# reaches behind its first words is bounded, so that one license is not told apart by words of the next.
+BODIES: tuple[tuple[str, str, str], ...] = (
+    ("mit", "permission is hereby granted free of charge", rf"{_MIT}(?=.{{0,800}} {_MIT_NOTICE})"),
+    ("mit-0", "permission is hereby granted free of charge", rf"{_MIT}(?!.{{0,800}} {_MIT_NOTICE})(?=.{{0,800}} the software is provided as is)"),
+    ("bsd-4-clause", "redistribution and use in source and binary forms", rf"{_BSD}(?=.{{0,1200}} {_ADVERTISING})"),
+    ("bsd-3-clause", "redistribution and use in source and binary forms", rf"{_BSD}(?!.{{0,1200}} {_ADVERTISING})(?=.{{0,1200}} (?:{_NEITHER}))"),
+    ("bsd-2-clause", "redistribution and use in source and binary forms", rf"{_BSD}(?!.{{0,1200}} (?:{_ADVERTISING}|{_NEITHER}))(?=.{{0,800}} {_BINARY})"),
+    ("bsd", "redistribution and use in source and binary forms", rf"{_BSD}(?!.{{0,1200}} (?:{_ADVERTISING}|{_NEITHER}|{_BINARY}))"),
+    ("isc", "with or without fee is hereby granted", rf"{_ISC} provided that the above copyright notice"),
+    ("0bsd", "with or without fee is hereby granted", rf"{_ISC}(?! provided)"),
+    ("zlib", "this notice may not be removed or altered from any source distribution", "this notice may not be removed or altered from any source distribution"),
+    ("unlicense", "this is free and unencumbered software", "this is free and unencumbered software released into the public domain"),
+    ("bsl", "permission is hereby granted free of charge", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
+    ("ofl", "permission is hereby granted free of charge", "permission is hereby granted free of charge to any person obtaining a copy of the font software"),
+    ("gpl-2", "either version 2 of the license or", "it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license"),
+    ("gpl-3", "either version 3 of the license or", "it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license"),
+    ("apache-2", "perpetual worldwide non exclusive no charge royalty free", "each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license to reproduce"),
+    ("wtfpl", "you just do what the", r"you just do what the f\w+ you want to"),
+    ("cc0", "overtly fully permanently irrevocably", "affirmer hereby overtly fully permanently irrevocably and unconditionally waives"),
+    ("artistic-2", "the copyright holder maintains some artistic control", "the copyright holder maintains some artistic control over the development of that package"),
+)
+BODY_WEIGHT = 1.0
 # One of these stands in every text that a rule can match.
 KEYWORDS = (
     " licen", "spdx ", "under the terms of ", "ed under ", "available under ",
     " cc ", " cc0 ", " creative commons ", "domain dedication ", "gpl", " gfdl ", " apache ", " asl ", " bsd ", " 0bsd ",
     " mpl", " epl ", " eupl ", " cddl ", " wtfpl ", " odbl ", " ofl ", "software distribution ",
+    " mit v", " mit 0 v", "no attribution v", " expat v", " x11 v", " bsl v", " artistic v", " isc v", " zlib v", " libpng v", " unlicense v",
+    *dict.fromkeys(f" {phrase} " for _, phrase, _ in BODIES),
 )
 
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -101,15 +137,15 @@ def rules() -> list[tuple[int, str, str]]:
         for priority, (_, phrasings) in enumerate(PHRASINGS)
         for label, names in FAMILIES
         for phrasing in phrasings
-        if priority < len(PHRASINGS) - 1 or label not in AMBIGUOUS
-    ]
+        if phrasing != BARE_NUMBER or label not in AMBIGUOUS
+    ] + [(0, label, pattern) for label, _, pattern in BODIES]
 
 
 def tried(priority: int) -> str:
     """All rules of a priority as one pattern: what phrasings share is tried once for all licenses, in their order."""
-    last = priority == len(PHRASINGS) - 1
-    names = "|".join(names for label, names in FAMILIES if not last or label not in AMBIGUOUS)
-    return _any([phrasing.format(names) for phrasing in PHRASINGS[priority][1]])
+    every = "|".join(names for _, names in FAMILIES)
+    plain = "|".join(names for label, names in FAMILIES if label not in AMBIGUOUS)
+    return _any([phrasing.format(plain if phrasing == BARE_NUMBER else every) for phrasing in PHRASINGS[priority][1]])
 
 
 def _any(patterns: Sequence[str]) -> str:
@@ -176,6 +212,12 @@ def scan(docs: DataFrame) -> DataFrame:
         )
         found.append(F.coalesce(F.array_compact(named), F.array().cast("array<string>")))
         weights.append(F.when(F.size(f"hits{priority}") > 0, F.lit(weight)))
+    bodies = [
+        F.when(F.contains("words", F.lit(f" {phrase} ")) & F.regexp_like("words", F.lit(_any([pattern]))), F.lit(label))
+        for label, phrase, pattern in BODIES
+    ]
+    found.append(F.array_compact(F.array(*bodies)))
+    weights.append(F.when(F.size(found[-1]) > 0, F.lit(BODY_WEIGHT)))
     base_labels = F.array_join(F.array_sort(F.array_distinct("base")), ",")
     labels = F.array_join(F.array_sort(F.array_distinct(F.concat(F.col("base"), *found))), ",")
     best = F.greatest(F.lit(0.0), *weights, F.when(F.col("n_base") > 0, F.lit(BASE_WEIGHT)))

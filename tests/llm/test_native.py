@@ -58,6 +58,50 @@ def test_rules(spark, text, labels):
     assert got == labels or labels and set(labels.split(",")) <= set(got.split(","))
 
 
+@pytest.mark.parametrize(
+    "text,labels",
+    [
+        ("this project is MIT licensed", "mit"),
+        ("zlib-licensed", "zlib"),
+        ("Artistic version 2", "artistic-2"),
+        ("MIT 2019, ISC 4 and zlib 1.2", ""),
+    ],
+)
+def test_names_that_are_plain_words(spark, text, labels):
+    assert licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()["labels"] == labels
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction. {}THE SOFTWARE IS PROVIDED "AS IS"."""
+NOTICE = "The above copyright notice and this permission notice shall be included in all copies. "
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that:
+1. Redistributions of source code must retain the above copyright notice. 2. Redistributions in binary form must
+reproduce the above copyright notice. {}THIS SOFTWARE IS PROVIDED BY THE AUTHOR."""
+NEITHER = "3. Neither the name of the holder nor the names of its contributors may be used to endorse or promote products. "
+ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+
+
+@pytest.mark.parametrize(
+    "text,label",
+    [
+        (MIT.format(NOTICE), "mit"),
+        (MIT.format(""), "mit-0"),
+        (BSD.format(""), "bsd-2-clause"),
+        (BSD.format(NEITHER), "bsd-3-clause"),
+        (BSD.format("3. All advertising materials mentioning features must say so. " + NEITHER), "bsd-4-clause"),
+        ("Redistribution and use in source and binary forms, with or without modification, are permitted.", "bsd"),
+        (ISC + ", provided that the above copyright notice appears.", "isc"),
+        (ISC + ".", "0bsd"),
+        ("This notice may not be removed or altered from any source distribution.", "zlib"),
+        ("This is free and unencumbered software released into the public domain.", "unlicense"),
+    ],
+)
+def test_texts_of_licenses(spark, text, label):
+    docs = spark.createDataFrame([(1, f"x {text} x"), (2, text.replace("is", "was").replace("may", "might"))], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licenses.scan(docs).collect()}
+    assert got[1]["labels"] == label and got[1]["score"] == 1.0 and got[1]["n_base"] == 0
+
+
 def test_a_longer_detection_suppresses_what_it_holds(spark):
     docs = spark.createDataFrame([(1, "licensed under the gnu lesser general public license version 3")], "doc_id long, text string")
     assert licenses.scan(docs).first()["labels"] == "lgpl-3"
