@@ -102,3 +102,46 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'key' AS law, shard,
   row_number() OVER (PARTITION BY shard ORDER BY md5(key), doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown_shard
 FROM placed
 """
+
+OP13 = """
+WITH steps AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END), n)) AS t
+), turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+), sized AS (
+  SELECT conv_id, max(p) AS own, conv_id - conv_id % 5 AS donor, hex(encode(CAST(conv_id AS VARCHAR))) AS x FROM turns GROUP BY conv_id
+), convs AS (
+  SELECT conv_id, own, donor, xor(4294967295, list_reduce(
+    list_transform(range(length(x) // 2), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295)) % 9 AS h
+  FROM sized, steps
+), built AS (
+  SELECT c.conv_id, t.p AS pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.donor AND t.p <= c.h
+  UNION ALL
+  SELECT c.conv_id, least(c.h, coalesce(d.own, 0)) + t.p - c.h, t.role, t.text
+  FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.p > c.h LEFT JOIN sized d ON d.conv_id = c.donor
+), keyed AS (
+  SELECT conv_id, pos, octet_length(encode(text)) AS bytes,
+    md5(string_agg(md5(length(role) || ':' || role || text), ',') OVER (PARTITION BY conv_id ORDER BY pos)) AS key
+  FROM built
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+), linked AS (
+  SELECT *, lag(key) OVER (PARTITION BY conv_id ORDER BY pos) AS up, lead(key) OVER (PARTITION BY conv_id ORDER BY pos) IS NULL AS last FROM keyed
+), nodes AS (
+  SELECT key, pos, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n, max(bytes) AS bytes,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE last), '') AS ends
+  FROM linked GROUP BY key, pos
+), kids AS (
+  SELECT up AS key, count(*) AS n_children FROM nodes WHERE pos > 0 GROUP BY up
+), below AS (
+  SELECT DISTINCT a.key, b.key AS other FROM keyed a JOIN keyed b ON a.conv_id = b.conv_id AND b.pos >= a.pos
+), sums AS (
+  SELECT b.key, count(*) FILTER (WHERE k.key IS NULL) AS n_leaves, sum((n.n - 1) * n.bytes) AS saved
+  FROM below b JOIN nodes n ON n.key = b.other LEFT JOIN kids k ON k.key = b.other GROUP BY b.key
+)
+SELECT n.conv_id, n.pos AS depth, p.conv_id AS parent_conv_id, n.n AS n_convs, coalesce(k.n_children, 0) AS n_children,
+  s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN sums s USING (key) LEFT JOIN kids k USING (key) LEFT JOIN nodes p ON p.key = n.up
+"""

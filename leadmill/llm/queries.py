@@ -17,6 +17,7 @@ from leadmill.llm.pieces import digests, vocabulary
 from leadmill.llm.placement import place
 from leadmill.llm.simhash import simhash_groups
 from leadmill.llm.suffixes import repeated_bytes
+from leadmill.llm.trie import prefix_trie
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +27,7 @@ ORACLE: dict[str, str] = {
     "op5_suffix_dedup": oracles.OP5,
     "op6_preference": oracles.OP6,
     "op9_placement": oracles.OP9,
+    "op13_prefix_trie": oracles.OP13,
 }
 
 
@@ -95,3 +97,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(toxicity.remainder(4) == 2, F.lit(False)).alias("held_out")
     predicted = (F.col("score") >= quality.CUT).cast("int").alias("predicted")
     return quality.score(docs, model).select("doc_id", held_out, "score", predicted)
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))

@@ -8,7 +8,7 @@ SMALL = "/root/testdata/sf0.001"
 
 
 def test_names():
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
     assert ORACLE.keys() <= QUERIES.keys()
 
 
