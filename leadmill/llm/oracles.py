@@ -145,3 +145,29 @@ SELECT n.conv_id, n.pos AS depth, p.conv_id AS parent_conv_id, n.n AS n_convs, c
   s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
 FROM nodes n JOIN sums s USING (key) LEFT JOIN kids k USING (key) LEFT JOIN nodes p ON p.key = n.up
 """
+
+_TERMS = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+OP12 = f"""
+WITH d AS (
+  SELECT doc_id, unnest({_TERMS}) AS term FROM documents
+), tf AS (
+  SELECT doc_id, term, count(*) AS tf FROM d GROUP BY doc_id, term
+), n AS (
+  SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id
+), al AS (
+  SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM n
+), w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(big_n) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, al GROUP BY term
+), q AS (
+  SELECT item_id, term, count(*) AS k FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY item_id, term
+), s AS (
+  SELECT q.item_id, tf.doc_id, CAST(sum(q.k * w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (25 + (75 * n.n * al.big_n) // al.big_l)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN n USING (doc_id), al GROUP BY q.item_id, tf.doc_id
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM r WHERE rank <= 10
+"""

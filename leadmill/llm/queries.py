@@ -15,6 +15,7 @@ from leadmill.llm.hnsw import similar_vectors
 from leadmill.llm.licenses import scan
 from leadmill.llm.pieces import digests, vocabulary
 from leadmill.llm.placement import place
+from leadmill.llm.search import ranked
 from leadmill.llm.simhash import simhash_groups
 from leadmill.llm.suffixes import repeated_bytes
 from leadmill.llm.trie import prefix_trie
@@ -27,6 +28,7 @@ ORACLE: dict[str, str] = {
     "op5_suffix_dedup": oracles.OP5,
     "op6_preference": oracles.OP6,
     "op9_placement": oracles.OP9,
+    "op12_ranked_search": oracles.OP12,
     "op13_prefix_trie": oracles.OP13,
 }
 
@@ -102,3 +104,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -15,7 +15,7 @@ def test_names():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracle(spark, name):
     base = duckdb.connect()
-    for table in ("documents", "embeddings", "conversations"):
+    for table in ("documents", "embeddings", "conversations", "benchmark"):
         base.execute(f"CREATE VIEW {table} AS FROM '{SMALL}/{table}.parquet'")
     want = base.execute(ORACLE[name]).to_arrow_table()
     got = QUERIES[name](spark, SMALL)
