@@ -13,6 +13,7 @@ from leadmill.llm.common import prepare, table
 from leadmill.llm.contamination import contaminated
 from leadmill.llm.hnsw import similar_vectors
 from leadmill.llm.licenses import scan
+from leadmill.llm.mixing import language_scores
 from leadmill.llm.pieces import digests, vocabulary
 from leadmill.llm.placement import place
 from leadmill.llm.search import ranked
@@ -109,3 +110,8 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_scores(table(spark, sf_dir, "documents"))
