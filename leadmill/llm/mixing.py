@@ -52,6 +52,13 @@ HEAD = 1 << 17
 LONG = 40
 END, END_WORD = 0xFF, b" "
 BLOCK_BITS = 16
+# Bytes of text whose strings are made at a time; they stay near the processor.
+NEARBY = 1 << 18
+# Places, as a power of two, of what a task remembers of the strings that it has scored.
+MEMO = 21
+
+# The log odds of a cell, by its byte; negative ones count from the end.
+VALUES = np.concatenate([np.arange(128), [0], np.arange(-127, 0)]).astype(np.float32) / SCALE
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -69,9 +76,12 @@ def strings(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     out[last] = END
     at = np.concatenate([at, last])
     doc = np.concatenate([doc, np.arange(len(sizes))])
-    gram = np.zeros(len(out), np.uint64)
-    for k in range(ORDERS):
-        gram[k:] |= out[: len(out) - k].astype(np.uint64) << np.uint64(8 * k)
+    one = out.astype(np.uint64)
+    two = one.copy()  # strings of two, then four and six bytes
+    two[1:] |= one[:-1] << np.uint64(8)
+    gram = two.copy()
+    gram[2:] |= two[:-2] << np.uint64(16)
+    gram[4:] |= two[:-4] << np.uint64(32)
     return doc, gram[at]
 
 
@@ -114,12 +124,12 @@ class Mixer:
         return cls(table, weights, np.repeat(_edges()[None, :], 256, 0))
 
     def inputs(self, context: list[np.ndarray], i: int, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        x = np.full((len(node), ORDERS + 1), BIAS)
+        x = np.full((len(node), ORDERS + 1), BIAS, np.float32)
         longest = np.zeros(len(node), np.int64)
         for k in range(ORDERS):
             cell = self.table[slots(context[k], k, node)]
             seen = cell != UNSEEN
-            x[:, k] = np.where(seen, cell, 0) / SCALE
+            x[:, k] = VALUES[cell]
             longest[seen] = k
         return x, longest * 8 + i
 
@@ -169,30 +179,41 @@ def string_counts(train: DataFrame) -> DataFrame:
     """gram, n and m: how often each string of six bytes stands in the documents, and in the mixer's share of them."""
 
     def flushed(parts: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        names, place = np.unique(np.concatenate(parts), return_inverse=True)
-        return names, np.bincount(place, np.concatenate(counts), minlength=len(names)).astype(np.int64)
+        names, n = np.concatenate(parts), np.concatenate(counts)
+        order = np.argsort(names)
+        names, n = names[order], n[order]
+        first = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
+        return names[first], np.add.reduceat(n, first)
 
     def shaped(names: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        gram, fold = (names & np.uint64((1 << 48) - 1)).astype(np.int64), (names >> np.uint64(48)).astype(np.int64)
+        gram, m = (names >> np.uint64(1)).astype(np.int64), n * (names & np.uint64(1)).astype(np.int64)
+        first = np.flatnonzero(np.diff(gram, prepend=-1))
+        if len(first):
+            gram, n, m = gram[first], np.add.reduceat(n, first), np.add.reduceat(m, first)
         for lo in range(0, len(gram), 1 << 16):
             own = slice(lo, lo + (1 << 16))
-            yield pa.RecordBatch.from_arrays([pa.array(gram[own]), pa.array(n[own]), pa.array(n[own] * fold[own])], ["gram", "n", "m"])
+            yield pa.RecordBatch.from_arrays([pa.array(gram[own]), pa.array(n[own]), pa.array(m[own])], ["gram", "n", "m"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, counts, size = [], [], 0
-        for rows, data, ends in pieces(batches):
+        parts, counts, size, fresh, waiting = [], [], 0, [], 0
+        for rows, data, ends in pieces(batches, limit=NEARBY):
             doc, gram = strings(data, ends)
             fold = rows.column("fold").to_numpy(zero_copy_only=False).astype(np.uint64)
-            names, n = np.unique(gram | fold[doc] << np.uint64(48), return_counts=True)
-            parts.append(names)
-            counts.append(n)
-            size += len(names)
+            fresh.append(gram << np.uint64(1) | fold[doc])
+            waiting += len(gram)
+            if waiting < PENDING:
+                continue
+            names, n = np.unique(np.concatenate(fresh), return_counts=True)
+            parts, counts, size, fresh, waiting = [*parts, names], [*counts, n], size + len(names), [], 0
             if size > PENDING:
                 parts, counts = ([x] for x in flushed(parts, counts))
                 size = len(parts[0])
                 if size > PENDING // 2:
                     yield from shaped(parts[0], counts[0])
                     parts, counts, size = [], [], 0
+        if fresh:
+            names, n = np.unique(np.concatenate(fresh), return_counts=True)
+            parts, counts = [*parts, names], [*counts, n]
         if parts:
             yield from shaped(*flushed(parts, counts))
 
@@ -297,18 +318,20 @@ def fit(train: DataFrame) -> Mixer:
 
 def scorer(mixer: Mixer) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
     """Log probabilities of texts; what a string of six bytes gives is remembered for the next texts."""
-    known = np.full(1 << 20, (1 << 64) - 1, np.uint64)
-    value = np.zeros(1 << 20)
+    known = np.full(1 << MEMO, (1 << 64) - 1, np.uint64)
+    value = np.zeros(1 << MEMO, np.float32)
+    shift = np.uint64(64 - MEMO)
 
     def score(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
         doc, gram = strings(data, ends)
-        at = (gram * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)
+        at = (gram * np.uint64(0x9E3779B97F4A7C15) >> shift).astype(np.int64)
         hit = known[at] == gram
-        out = value[at]
-        names, place = np.unique(gram[~hit], return_inverse=True)
+        out = value[at].astype(np.float64)
+        new = np.flatnonzero(~hit)
+        names = np.unique(gram[new])
         made = np.concatenate([mixer.log10(names[lo : lo + (1 << 15)]) for lo in range(0, len(names), 1 << 15)] or [np.zeros(0)])
-        out[~hit] = made[place]
-        spot = (names * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)
+        out[new] = made[np.searchsorted(names, gram[new])]
+        spot = (names * np.uint64(0x9E3779B97F4A7C15) >> shift).astype(np.int64)
         known[spot] = names
         stays = known[spot] == names  # of strings that share a place the last one
         value[spot[stays]] = made[stays]
@@ -338,16 +361,15 @@ def word_counts(train: DataFrame) -> DataFrame:
     """word and c: how often each word stands in the documents; an end for each of them."""
 
     def shaped(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "c"])
+        words = [word(token) for token in counts]
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "c"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = Counter()
         for rows, data, ends in pieces(batches):
             raw = data.tobytes()
-            for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
-                for token, n in tokens(raw[a:b]).items():
-                    counts[word(token)] += n
-                counts[END_WORD] += 1
+            counts.update(tokens(b" ".join(raw[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()))))
+            counts[END_WORD] += rows.num_rows
             if len(counts) > WORDS:
                 yield shaped(counts)
                 counts = Counter()
@@ -379,23 +401,26 @@ def language_scores(docs: DataFrame, train: Column | None = None) -> DataFrame:
     known = spark.sparkContext.broadcast(dict(zip(head.column("word").to_pylist(), head.column("c").to_pylist())))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score, c_of = scorer(mixer.value), known.value
-        log_of = {w: math.log10(c + 1) for w, c in c_of.items()}
+        score = scorer(mixer.value)
+        log_of = {w: math.log10(c + 1) for w, c in known.value.items()}
         end = log_of.get(END_WORD, 0.0)
-        for rows, data, ends in pieces(batches):
+        for rows, data, ends in pieces(batches, limit=NEARBY):
             raw = data.tobytes()
             out = []
             for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
-                n, found, logs, rest = 1, int(END_WORD in c_of), end, []
-                for token, times in tokens(raw[a:b]).items():
-                    n += times
-                    name = word(token)
-                    if name in log_of:
-                        found += times
-                        logs += times * log_of[name]
+                counts = tokens(raw[a:b])
+                found, logs, rest = int(END_WORD in log_of), end, []
+                for token, times in counts.items():
+                    log = log_of.get(token)
+                    if log is None and len(token) > LONG:
+                        token = word(token)
+                        log = log_of.get(token)
+                    if log is None:
+                        rest.append({"word": token, "n": times})
                     else:
-                        rest.append({"word": name, "n": times})
-                out.append((n, found, logs, rest))
+                        found += times
+                        logs += times * log
+                out.append((counts.total() + 1, found, logs, rest))
             n, found, logs, rest = zip(*out)
             rest = pa.array(rest, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))
             yield pa.RecordBatch.from_arrays(
