@@ -2,8 +2,8 @@
 
 A document's features are the distinct words, word pairs, pairs with one word left out, and triples of its whole
 text, hashed to ``2 ** BITS`` places. Learning runs over a bounded sample of labelled documents, cut into shards
-that learn side by side; after each round the shards' whole states are averaged place by place and go into the next
-round. L1 leaves most weights at zero, so the model that scores all documents is a short list of at most
+that learn side by side; after each round the shards' whole states are averaged place by place, in tasks that each sum
+one block of places, and go into the next round. L1 leaves most weights at zero, so the model that scores all documents is a short list of at most
 ``2 ** BITS`` places, whatever the size of the corpus.
 """
 
@@ -25,10 +25,10 @@ BITS = 20
 KINDS = ((1, 0), (2, 0), (2, 1), (3, 0))
 # Labelled documents to learn from, at most; those with the lowest hash of their id are taken.
 SAMPLE = 16_384
-# Documents of a shard, at most, and passes over all shards.
-SHARD, ROUNDS = 4096, 4
-# Up to so many shards' changes are added up on the driver, at most 2 ** BITS + 1 places each; more are summed before.
-DIRECT = SAMPLE // SHARD
+# Documents of a shard and bytes of its texts, at most about, and passes over all shards.
+SHARD, SHARD_BYTES, ROUNDS = 4096, 64 << 20, 4
+# Places whose changes travel as one block, as a power of two.
+BLOCK_BITS = 16
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.0
 CUT = 0.7
 
@@ -84,14 +84,13 @@ class Model:
 
 
 def learner(before: Broadcast) -> Callable[[pa.Table], pa.Table]:
-    """A pass over a shard, from the given state: by how much it changes it, at every place that it changes."""
+    """A pass over a shard, from the given state: by how much it changes it, in blocks of places."""
     size = (1 << BITS) + 1
+    blocks = -(-size >> BLOCK_BITS)
 
     def run(rows: pa.Table) -> pa.Table:
-        at, at_z, at_n = before.value
-        z, n = np.zeros(size), np.zeros(size)
-        z[at], n[at] = at_z, at_n
-        old_z, old_n = z.copy(), n.copy()
+        old_z, old_n = before.value
+        z, n = old_z.copy(), old_n.copy()
         order = np.argsort(rows.column("order").to_numpy(), kind="stable")
         rows = rows.take(pa.array(order))
 
@@ -105,41 +104,49 @@ def learner(before: Broadcast) -> Callable[[pa.Table], pa.Table]:
                     yield pair[a:b] & ((1 << BITS) - 1), label
 
         learn(examples(), z, n)
-        z -= old_z
-        n -= old_n
-        moved = np.flatnonzero((z != 0) | (n != 0))
-        return pa.table({"place": moved.astype(np.int32), "z": z[moved], "n": n[moved]})
+        change = np.zeros((2, blocks << BLOCK_BITS), np.float32)
+        change[0, :size], change[1, :size] = z - old_z, n - old_n
+        cells = [change[:, at << BLOCK_BITS : (at + 1) << BLOCK_BITS].tobytes() for at in range(blocks)]
+        return pa.table({"block": pa.array(np.arange(blocks, dtype=np.int32)), "cells": pa.array(cells, pa.binary())})
 
     return run
 
 
+def summed(rows: pa.Table) -> pa.Table:
+    """One block's changes, added up over the shards."""
+    total = np.zeros(2 << BLOCK_BITS)
+    for cells in rows.column("cells").to_pylist():
+        total += np.frombuffer(cells, np.float32)
+    return pa.table({"block": rows.column("block").slice(0, 1), "cells": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn ``labels`` (doc_id, label 0 or 1) from at most ``sample`` of the documents that have one.
 
     Rows without an id, a label of 0 or 1, or a document teach nothing; of several labels of one document the
-    larger one counts. Nothing to learn from: all scores are one half.
+    larger one counts, of several texts of one document the smallest. Nothing to learn from: all scores are one half.
     """
     spark = prepare(docs.sparkSession)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"))
     known = known.where("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
     known = known.withColumn("order", F.xxhash64("doc_id")).orderBy("order", "doc_id").limit(sample)
-    chosen = texts(docs).join(F.broadcast(known), "doc_id")  # as many rows as the sample
-    chosen = written(chosen, "learn")
-    shards = max(1, -(-chosen.count() // SHARD))
+    chosen = texts(docs).join(F.broadcast(known), "doc_id")  # as many ids as the sample
+    chosen = written(chosen.groupBy("doc_id", "label", "order").agg(F.min("text").alias("text")), "learn")
+    rows, n_bytes = chosen.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    shards = max(1, -(-rows // SHARD), -(-n_bytes // SHARD_BYTES))
     chosen = chosen.withColumn("shard", F.pmod("order", F.lit(shards)).cast("int"))
     size = (1 << BITS) + 1
     z, n = np.zeros(size), np.zeros(size)
     for _ in range(ROUNDS):
-        start = np.flatnonzero((z != 0) | (n != 0))
-        before = spark.sparkContext.broadcast((start, z[start], n[start]))
-        changes = chosen.groupBy("shard").applyInArrow(learner(before), "place int, z double, n double")
-        if shards > DIRECT:
-            changes = changes.groupBy("place").agg(F.sum("z").alias("z"), F.sum("n").alias("n"))
-        change = changes.toArrow()
-        # the mean of all shards' states: a shard without a place leaves it as it was
-        at = change.column("place").to_numpy()
-        np.add.at(z, at, change.column("z").to_numpy() / shards)
-        np.add.at(n, at, change.column("n").to_numpy() / shards)
+        before = spark.sparkContext.broadcast((z, n))
+        changes = chosen.groupBy("shard").applyInArrow(learner(before), "block int, cells binary")
+        changes = changes.groupBy("block").applyInArrow(summed, "block int, cells binary")
+        # the mean of all shards' states, eight bytes a place: a shard without a place leaves it as it was
+        for row in changes.toLocalIterator():
+            at = slice(row["block"] << BLOCK_BITS, min((row["block"] + 1) << BLOCK_BITS, size))
+            change = np.frombuffer(row["cells"], np.float32).reshape(2, -1)[:, : at.stop - at.start]
+            z[at] += change[0] / shards
+            n[at] += change[1] / shards
         before.unpersist()
     w = weights(z, n)
     bias = float(w[-1])
