@@ -75,6 +75,12 @@ class Vocabulary:
         return self._encoder
 
 
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places start, start + 1 ... of several runs, one run after another."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)
+
+
 class Encoder:
     """Paths of texts in which a space is the character of SPACE."""
 
@@ -95,6 +101,8 @@ class Encoder:
         self.names = sorted(vocabulary.id)
         self.number_id = np.array([vocabulary.id[p] for p in self.names], np.int32)
         self.number_size = np.array([len(p) for p in self.names], np.int64)
+        self.number_chars = np.frombuffer("".join(self.names).encode("utf-32-le", "surrogatepass"), "<u4")
+        self.number_at = np.cumsum(self.number_size) - self.number_size
         codes = np.array([int(self._sums(p)[1][0]) for p in self.names], np.uint64)
         self.order = np.argsort(codes)
         self.codes = codes[self.order]
@@ -106,6 +114,8 @@ class Encoder:
     def clear(self) -> None:
         self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self.flat, self.begin = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        # the characters of the units, since codes alone do not tell them apart for sure
+        self.spelled, self.spelled_at = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     @staticmethod
     def _sums(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -233,7 +243,7 @@ class Encoder:
         return good
 
     def _paths(self, sums: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """reach() and trace() for many short units at once: ids, and how many each has. Longest units first."""
+        """reach() and trace() for many short units at once: pieces by number, and how many each has. Longest units first."""
         most = int(size[0])
         last = np.full((len(start), most + 1), -9, np.int32)
         last[:, 0] = -1
@@ -247,7 +257,7 @@ class Encoder:
                 code = mixed((stop - sums[at]) * back[at] + np.uint64(long))
                 hit = np.flatnonzero(self.maybe[code & np.uint64((1 << 22) - 1)])
                 nth = np.minimum(np.searchsorted(self.codes, code[hit]), len(self.codes) - 1)
-                same = self.codes[nth] == code[hit]
+                same = (self.codes[nth] == code[hit]) & (self.number_size[self.order[nth]] == long)
                 hit, piece = hit[same], self.order[nth[same]]
                 if not len(hit):
                     continue
@@ -271,7 +281,7 @@ class Encoder:
         piece = np.concatenate([p for _, p in steps])
         nth = np.concatenate([np.full(len(r), -i) for i, (r, _) in enumerate(steps)])
         order = np.lexsort((nth, unit))
-        return self.number_id[piece[order]], np.bincount(unit, minlength=len(start))
+        return piece[order], np.bincount(unit, minlength=len(start))
 
     def _learn(self, joined: str, points: np.ndarray, sums: np.ndarray, code: np.ndarray, start: np.ndarray, stop: np.ndarray) -> None:
         """Remember the paths of units with new codes."""
@@ -289,6 +299,20 @@ class Encoder:
         counts[slow] = [len(x) for x in by_hand]
         if many.any():
             found, counts[many] = self._paths(sums, start[many], size[many])
+            # pieces are looked up by code: units that theirs do not spell are traced by their characters
+            lengths = self.number_size[found]
+            chars = self.number_chars[_ranges(self.number_at[found], lengths)]
+            wrong = chars != points[_ranges(start[many], size[many])]
+            if wrong.any():
+                bad = np.zeros(len(start), bool)
+                bad[np.flatnonzero(many)[np.unique(np.repeat(np.arange(many.sum()), size[many])[wrong])]] = True
+                found = found[~np.repeat(bad[many], counts[many])]
+                for k in np.flatnonzero(bad).tolist():
+                    by_hand.append(self.unit(joined[start[k] : stop[k]]))
+                    counts[k] = len(by_hand[-1])
+                slow, many = np.concatenate([slow, np.flatnonzero(bad)]), many & ~bad
+                by_hand = [by_hand[k] for k in np.argsort(slow).tolist()]
+            found = self.number_id[found]
         else:
             found = np.zeros(0, np.int32)
         ids, batched = np.zeros(counts.sum(), np.int32), np.repeat(many, counts)
@@ -296,6 +320,8 @@ class Encoder:
         place = np.arange(len(start)) + len(self.begin) - 1
         self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(counts)])
         self.flat = np.concatenate([self.flat, ids])
+        self.spelled = np.concatenate([self.spelled, points[_ranges(start, size)].astype(np.uint32)])
+        self.spelled_at = np.concatenate([self.spelled_at, self.spelled_at[-1] + np.cumsum(size)])
         known, where = np.concatenate([self.known, code]), np.concatenate([self.place, place.astype(np.int32)])
         order = np.argsort(known, kind="stable")
         self.known, self.place = known[order], where[order]
@@ -326,9 +352,21 @@ class Encoder:
             nth = np.searchsorted(self.known, unique)
         unit = self.place[nth][inverse]
         lengths = (self.begin[1:] - self.begin[:-1])[unit]
+        out = self.flat[_ranges(self.begin[unit], lengths)]
+        # a unit is the one that its code says if it has the same characters; others are traced by their own
+        size = at[1:] - at[:-1]
+        strange = np.flatnonzero(self.spelled_at[unit + 1] - self.spelled_at[unit] != size)
+        spelled = np.minimum(_ranges(self.spelled_at[unit], size), len(self.spelled) - 1)
+        wrong = np.flatnonzero(self.spelled[spelled] != points)
+        if len(strange) or len(wrong):
+            bad = np.union1d(strange, np.searchsorted(at, wrong, "right") - 1)
+            parts, own = np.split(out, np.cumsum(lengths)[:-1]), lengths.copy()
+            for k in bad.tolist():
+                parts[k] = np.array(self.unit(joined[at[k] : at[k + 1]]), np.int32)
+                own[k] = len(parts[k])
+            out, lengths = np.concatenate(parts), own
         out_ends = np.concatenate([[0], np.cumsum(lengths)])
-        place = np.arange(out_ends[-1]) - np.repeat(out_ends[:-1] - self.begin[unit], lengths)
-        return self.flat[place], out_ends[np.searchsorted(at, ends)]
+        return out, out_ends[np.searchsorted(at, ends)]
 
     # Chunks: ``text`` is the chunk with the characters around it that a piece could hold; ``origin`` is its first
     # character's place in the document, ``lo`` and ``hi`` are the chunk's cuts within ``text``.

@@ -108,3 +108,31 @@ def test_operator(spark, model):
     plain, cut = (sorted(map(tuple, S.digests(docs, broadcast, c).collect()), key=repr) for c in (10_000, 64))
     assert plain == cut
     assert S.encode(docs.limit(0), broadcast).collect() == []
+
+
+def test_texts_with_equal_codes_are_told_apart(model):
+    """Polynomial hashes modulo a power of two give a Thue-Morse string and its complement the same code."""
+    encoder = S.Vocabulary().encoder()
+    for size in (1024, 2048):
+        one = "".join("ab"[bin(i).count("1") % 2] for i in range(size))
+        texts = [one, one.translate(str.maketrans("ab", "ba")), one, "x" + one]
+        for _ in range(2):  # new, then known
+            ids, ends = encoder.encode([S.prefixed(t) for t in texts])
+            for text, a, b in zip(texts, ends, ends[1:]):
+                assert ids[a:b].tolist() == model.encode(text)
+
+
+def test_units_whose_pieces_have_foreign_codes(model, monkeypatch):
+    encoder = S.Vocabulary().encoder()
+    right = encoder._paths
+    twin = {int(n): i for i, n in enumerate(encoder.number_size)}
+    twin = np.array([twin[int(n)] for n in encoder.number_size])  # another piece of the same length
+
+    def other(sums, start, size):
+        piece, counts = right(sums, start, size)
+        return np.where(np.arange(len(piece)) % 3 == 0, twin[piece], piece), counts
+
+    monkeypatch.setattr(encoder, "_paths", other)
+    for text in random_texts(50, 8):
+        ids, _ = encoder.encode([S.prefixed(text)])
+        assert ids.tolist() == model.encode(text)
