@@ -14,7 +14,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadmill.llm.common import components, pieces, prepare, texts
@@ -47,15 +47,19 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and the fingerprint of its whole text, as a signed long, for every row."""
+    """doc_id, the fingerprint of its whole text as a signed long, and a hash of the text, for every row."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, ends in pieces(batches):
             raw = data.tobytes()
             prints = [fingerprint(raw[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(prints, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(prints, pa.int64()), rows.column("code")], ["doc_id", "fp", "code"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, fp long")
+    return texts(docs, code_of_text()).mapInArrow(run, "doc_id long, fp long, code long")
+
+
+def code_of_text() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("code")
 
 
 def away(points: np.ndarray, vantage: np.uint64, half: int) -> np.ndarray:
@@ -182,10 +186,7 @@ def simhash_groups(docs: DataFrame, max_bits: int = 3) -> DataFrame:
     """
     prepare(docs.sparkSession)
     prints = fingerprints(docs).checkpoint()
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("first")).checkpoint()
-    roots = components(links(classes, max_bits).checkpoint())
-    roots = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    roots = roots.select("fp", "first", F.coalesce("root", "fp").alias("root")).checkpoint()
+    roots = linked_prints(prints, max_bits)
     least = roots.groupBy("root").agg(F.min("first").alias("component_id")).checkpoint()
     by_print = roots.join(least, "root").select("fp", "component_id").checkpoint()
     return prints.join(by_print, "fp").select(
@@ -193,13 +194,28 @@ def simhash_groups(docs: DataFrame, max_bits: int = 3) -> DataFrame:
     )
 
 
+def linked_prints(prints: DataFrame, max_bits: int = 3) -> DataFrame:
+    """Of (doc_id, fp): each fingerprint with its smallest doc_id and the fingerprint that names its component."""
+    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("first")).checkpoint()
+    roots = components(links(classes, max_bits).checkpoint())
+    roots = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    return roots.select("fp", "first", F.coalesce("root", "fp").alias("root")).checkpoint()
+
+
 def one_per_group(docs: DataFrame, max_bits: int = 3) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its near-duplicate group, each doc_id once.
+    """One row of each near-duplicate group: that with the smallest doc_id, then with the smallest hash of its text.
 
-    Rows without a doc_id stay if their group has no other id, once for each different row.
+    A row without a doc_id stays only if none of its group has one. Of rows with one doc_id and one text that differ
+    in other columns, that with the smallest hash of all columns stays.
     """
-    keep = simhash_groups(docs, max_bits).where("doc_id <=> component_id").select(F.col("doc_id").alias("__id"))
-    keep = keep.distinct()
-    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    other = F.when(F.col("doc_id").isNull(), F.xxhash64(F.col("text")))
-    return kept.withColumn("__text", other).dropDuplicates(["doc_id", "__text"]).drop("__text")
+    prepare(docs.sparkSession)
+    prints = fingerprints(docs).checkpoint()
+    # a group's rows are few kinds of (doc_id, text): the first of each fingerprint, then the first of each component
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("lacks"), "doc_id", "code")).alias("row")
+    by_print = prints.groupBy("fp").agg(first)
+    rows = linked_prints(prints, max_bits).select("fp", "root").join(by_print, "fp")
+    keep = rows.groupBy("root").agg(F.min("row").alias("row")).select(F.col("row.doc_id").alias("of_id"), F.col("row.code").alias("of_code"))
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    coded = docs.select(F.struct(*own).alias("row"), F.xxhash64(*own).alias("nth"), "doc_id", code_of_text())
+    kept = coded.join(keep, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("code") == F.col("of_code")), "left_semi")
+    return kept.groupBy("doc_id", "code").agg(F.min_by("row", "nth").alias("row")).select("row.*")

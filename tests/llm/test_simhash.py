@@ -75,6 +75,20 @@ def test_one_per_group_keeps_columns_and_smallest_ids(spark):
     assert sorted(map(tuple, kept.collect()), key=repr) == sorted([rows[1], rows[3], rows[4]], key=repr)
 
 
+def test_one_per_group_with_repeated_and_missing_ids(spark):
+    """One row a group: not another text of the same id, and no row without an id beside one with an id."""
+    same, other, third = "one two three four five", "six seven eight nine ten", "ten more words of another kind"
+    rows = [(1, same, "a", 1), (None, same, "b", 1), (None, third, "c", 1), (None, third, "d", 2), (4, other, "e", 1), (4, same, "f", 1), (4, other, "g", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __id string, fp long")
+    want = None
+    for part in (1, 4):
+        kept = sorted(map(tuple, S.one_per_group(docs.repartition(part)).collect()), key=repr)
+        assert sorted((r[0], r[1]) for r in kept if r[0]) == [(1, same), (4, other)]
+        assert [r[1] for r in kept if r[0] is None] == [third]
+        want = want or kept
+        assert kept == want
+
+
 def test_dense_groups_cost_a_spanning_forest():
     rng = np.random.default_rng(3)
     centre = np.uint64(0x0123456789ABCDEF)
