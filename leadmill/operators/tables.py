@@ -7,11 +7,13 @@ leaves the target as it was or is healed by running the same upsert again.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Sequence
 from datetime import datetime
 from functools import reduce
+from threading import RLock
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from leadmill.functions import stamp
 from leadmill.operators.conform import with_partitions
@@ -24,6 +26,9 @@ REPLACED_AT = "replaced_at"
 BUCKET = "key_bucket"
 BUCKETS_PROPERTY = "leadmill.key_buckets"
 BUCKET_KEY_PROPERTY = "leadmill.bucket_key"
+# Number of the load that wrote a row, or that replaced a tracked version; and the table's last one.
+LOAD = "load_no"
+LOADS_PROPERTY = "leadmill.loads"
 
 
 class Warehouse:
@@ -32,6 +37,10 @@ class Warehouse:
     ``buckets`` is the number of parts into which a table without partition columns of its own is cut by
     a hash of its key. A delta then rewrites the parts its keys fall into and no others; zero leaves such
     tables whole. The parts are a physical matter: ``read`` does not show them.
+
+    Every write of a table is a load, numbered in the order in which the loads are committed, and rows carry the number
+    of the load that wrote them (which ``read`` does not show either). Deltas go by these numbers: unlike stamps they
+    say what came after what was read. A table has one writer at a time; within a process a lock sees to that.
     """
 
     def __init__(
@@ -42,6 +51,7 @@ class Warehouse:
     ):
         self.spark = tune(spark)
         self.buckets = buckets
+        self._writers: defaultdict[str, RLock] = defaultdict(RLock)
         for db in databases:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
 
@@ -49,7 +59,20 @@ class Warehouse:
         return self.spark.catalog.tableExists(table)
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.table(table).drop(BUCKET)
+        return self.spark.table(table).drop(BUCKET, LOAD)
+
+    def newest_load(self, table: str) -> int:
+        """The last load of which the table, or its tracked versions, hold a row; 0 without any."""
+        found = 0
+        for name in (table, f"{table}{BEFORE_SUFFIX}"):
+            if self.exists(name) and LOAD in self.spark.table(name).columns:
+                found = max(found, self.spark.table(name).agg(F.max(LOAD)).first()[0] or 0)
+        return found
+
+    def _next_load(self, table: str) -> int:
+        """A number beyond all that the table has given out. Rows can go, so the last one is noted with the table."""
+        noted = self.properties(table).get(LOADS_PROPERTY, "0") if self.exists(table) else "0"
+        return max(int(noted), self.newest_load(table)) + 1
 
     def bucketing(self, table: str) -> tuple[int, str] | None:
         """Number of parts and the key they hash, for a table that is cut by key."""
@@ -101,12 +124,26 @@ class Warehouse:
         partition_by: Sequence[str] = (),
         sort_by: Sequence[str] = (),
         bucket_key: str | None = None,
+        unchanged_by: str | None = None,
     ) -> None:
         """Replace a table, also by rows computed from itself.
 
-        The new rows are complete as ``<table>__next`` before the old ones go.
+        The new rows are complete as ``<table>__next`` before the old ones go. With ``unchanged_by``, a key, rows that
+        stay as they are keep their stamp and the number of their load.
         """
-        self.recover(table)
+        with self._writers[table]:
+            self.recover(table)
+            number = self._next_load(table)
+            if LOAD not in df.columns:
+                df = df.withColumn(LOAD, F.lit(number).cast("bigint"))
+                if unchanged_by and self.exists(table) and LOAD in self.spark.table(table).columns:
+                    df = keep_stamps(df, self.spark.table(table).drop(BUCKET), unchanged_by, STAMP, LOAD)
+            self._replace(table, df, partition_by, sort_by, bucket_key)
+            self.set_properties(table, **{LOADS_PROPERTY: str(number)})
+
+    def _replace(
+        self, table: str, df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str], bucket_key: str | None
+    ) -> None:
         cut = None
         if bucket_key and self.buckets and not partition_by:
             cut = self.buckets, bucket_key
@@ -144,7 +181,7 @@ class Warehouse:
         gone = f"{table}__gone"
         self.write(gone, before.join(self.spark.table(kept), inside, "left_anti"))
         new = new.hint("rebalance", *parts).sortWithinPartitions(*parts, *[c for c in sort_by if c not in parts])
-        new.write.mode("overwrite").insertInto(table)
+        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
         names = []
         for row in self.spark.table(gone).toLocalIterator():
             values = [f"{p} = {'NULL' if row[p] is None else repr(str(row[p]))}" for p in parts]
@@ -207,28 +244,30 @@ class Warehouse:
         get replaced in ``<table>__before``, marked with that time, for later delta runs. ``bucket_key``
         is the column to cut a new table by (see the class); a row's key must determine it.
         """
-        self.recover(table)
-        if not self.exists(table):
-            first = single_source_rows(source, key, on_duplicate_key)
-            if loaded_at is not None:
-                first = first.withColumn(STAMP, stamp(loaded_at))
-            self.replace(table, first, partition_by, sort_by, bucket_key)
-            return
-        delta = f"{table}__delta"
-        self.write(delta, source)
-        rows = single_source_rows(self.read(delta), key, on_duplicate_key)
-        target = self.read(table)
-        if only_changes:
-            marked = keep_stamps(rows.withColumn(STAMP, F.lit(None).cast("timestamp_ntz")), target, key)
-            fresh = marked.where(F.col(STAMP).isNull()).select(F.col(key).alias("__fresh"))
-            rows = rows.join(fresh, rows[key].eqNullSafe(fresh["__fresh"]), "left_semi")
-        if not rows.isEmpty():
-
-            def merged(old: DataFrame) -> DataFrame:
-                return merge_rows(old, rows, key, loaded_at, touch_on_update, on_schema_change, newer_by=newer_by)
-
-            self._apply(table, rows, rows.select(key), key, merged, on_schema_change, sort_by, track)
-        self.drop(delta)
+        with self._writers[table]:
+            self.recover(table)
+            if not self.exists(table):
+                first = single_source_rows(source, key, on_duplicate_key)
+                if loaded_at is not None:
+                    first = first.withColumn(STAMP, stamp(loaded_at))
+                self.replace(table, first, partition_by, sort_by, bucket_key)
+                return
+            delta, number = f"{table}__delta", self._next_load(table)
+            self.write(delta, source)
+            rows = single_source_rows(self.spark.table(delta), key, on_duplicate_key)
+            target = self.read(table)
+            if only_changes:
+                marked = keep_stamps(rows.withColumn(STAMP, F.lit(None).cast("timestamp_ntz")), target, key)
+                fresh = marked.where(F.col(STAMP).isNull()).select(F.col(key).alias("__fresh"))
+                rows = rows.join(fresh, rows[key].eqNullSafe(fresh["__fresh"]), "left_semi")
+            if not rows.isEmpty():
+                rows = rows.withColumn(LOAD, F.lit(number).cast("bigint"))
+
+                def merged(old: DataFrame) -> DataFrame:
+                    return merge_rows(old, rows, key, loaded_at, touch_on_update, on_schema_change, newer_by=newer_by)
+
+                self._apply(table, rows, rows.select(key), key, merged, on_schema_change, sort_by, track, number)
+            self.drop(delta)
 
     def replace_keys(
         self,
@@ -241,19 +280,21 @@ class Warehouse:
         track: datetime | None = None,
     ) -> None:
         """Replace all rows with the given keys by the source rows, however many each key has."""
-        self.recover(table)
-        delta, gone = f"{table}__delta", f"{table}__keys"
-        self.write(delta, source)
-        self.write(gone, keys.select(key))
-        rows, keys = self.read(delta), self.read(gone)
-
-        def replaced(old: DataFrame) -> DataFrame:
-            old, new = sync_columns(old, rows, on_schema_change)
-            return old.join(keys.select(F.col(key).alias("__gone")), F.col(key) == F.col("__gone"), "left_anti").unionByName(new)
-
-        self._apply(table, rows, keys, key, replaced, on_schema_change, (), track)
-        self.drop(delta)
-        self.drop(gone)
+        with self._writers[table]:
+            self.recover(table)
+            delta, gone, number = f"{table}__delta", f"{table}__keys", self._next_load(table)
+            self.write(delta, source)
+            self.write(gone, keys.select(key))
+            rows = self.spark.table(delta).withColumn(LOAD, F.lit(number).cast("bigint"))
+            keys = self.spark.table(gone)
+
+            def replaced(old: DataFrame) -> DataFrame:
+                old, new = sync_columns(old, rows, on_schema_change)
+                return old.join(keys.select(F.col(key).alias("__gone")), F.col(key) == F.col("__gone"), "left_anti").unionByName(new)
+
+            self._apply(table, rows, keys, key, replaced, on_schema_change, (), track, number)
+            self.drop(delta)
+            self.drop(gone)
 
     def _apply(
         self,
@@ -265,19 +306,23 @@ class Warehouse:
         on_schema_change: str,
         sort_by: Sequence[str],
         track: datetime | None,
+        number: int,
     ) -> None:
         """Bring new rows into a table: ``change`` turns old rows into what replaces them.
 
         Only partitions that hold one of ``keys`` or receive a row are read as old rows and rewritten.
         """
         stored, cut = self.spark.table(table), self.bucketing(table)
+        numbered = LOAD in stored.columns
+        if not numbered:  # written before loads had numbers
+            stored = stored.withColumn(LOAD, F.lit(0).cast("bigint"))
         parts = self.partition_columns(table)
         wanted = keys.select(F.col(key).alias("__key"))
         found = stored.join(wanted, F.col(key) == F.col("__key"), "left_semi")
-        same_columns = on_schema_change == "ignore" or set(rows.columns) == set(stored.columns) - {BUCKET}
+        same_columns = numbered and (on_schema_change == "ignore" or set(rows.columns) == set(stored.columns) - {BUCKET})
         if not parts or not same_columns:
             if track is not None:
-                self._track(table, found, track)
+                self._track(table, found, track, number)
             self.replace(table, change(stored.drop(BUCKET)), [] if cut else parts, sort_by)
             return
         if cut:
@@ -292,49 +337,46 @@ class Warehouse:
         inside = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"__{p}")) for p in parts])
         old = stored.join(touched, inside, "left_semi")
         if track is not None:
-            self._track(table, old.join(wanted, F.col(key) == F.col("__key"), "left_semi"), track)
+            self._track(table, old.join(wanted, F.col(key) == F.col("__key"), "left_semi"), track, number)
         new = change(old.drop(BUCKET))
         if cut:
             new = in_buckets(new, *cut)
         self._overwrite(table, new, parts, sort_by, touched.select(*[F.col(f"__{p}").alias(p) for p in parts]))
+        self.set_properties(table, **{LOADS_PROPERTY: str(number)})
         self.drop(scratch)
 
-    def _track(self, table: str, before: DataFrame, at: datetime) -> None:
+    def _track(self, table: str, before: DataFrame, at: datetime, number: int) -> None:
         side = f"{table}{BEFORE_SUFFIX}"
-        before = before.drop(BUCKET).withColumn(REPLACED_AT, stamp(at))
+        before = before.drop(BUCKET).withColumns({REPLACED_AT: stamp(at), LOAD: F.lit(number).cast("bigint")})
         if self.exists(side):
-            known = self.read(side)
+            known = self.spark.table(side).drop(BUCKET)
             if set(known.columns) != set(before.columns):
                 self.replace(side, known.unionByName(before, allowMissingColumns=True))
                 return
             before = before.select(*known.columns)
         before.write.mode("append").format("parquet").saveAsTable(side)
 
-    def forget(self, table: str, until: datetime) -> None:
-        """Drop tracked row versions that every reader has taken in."""
-        side = f"{table}{BEFORE_SUFFIX}"
-        if self.exists(side):
-            old = self.read(side)
-            if not old.where(F.col(REPLACED_AT) <= stamp(until)).isEmpty():
-                self.replace(side, old.where(F.col(REPLACED_AT) > stamp(until)))
-
-    def newest_change(self, table: str, column: str) -> datetime | None:
-        """The latest stamp among a table's rows and the times at which its tracked versions were replaced."""
-        found = [self.read(table).agg(F.max(column)).first()[0]] if column in self.read(table).columns else []
+    def forget(self, table: str, until: datetime | int) -> None:
+        """Drop tracked row versions that every reader has taken in: replaced until a time, or by a load up to a number."""
         side = f"{table}{BEFORE_SUFFIX}"
         if self.exists(side):
-            found.append(self.read(side).agg(F.max(REPLACED_AT)).first()[0])
-        return max((t for t in found if t is not None), default=None)
-
-    def changed_since(self, table: str, column: str, bound) -> DataFrame:
-        """Row versions newer than a bound, with the versions they replaced."""
-        now = self.read(table)
-        new = now.where(F.col(column) > bound)
+            old = self.spark.table(side).drop(BUCKET)
+            done = F.coalesce(F.col(LOAD), F.lit(0)) <= until if isinstance(until, int) else F.col(REPLACED_AT) <= stamp(until)
+            if not old.where(done).isEmpty():
+                self.replace(side, old.where(~done))
+
+    def changed_since(self, table: str, column: str, bound: Column) -> DataFrame:
+        """Row versions newer than a bound (a stamp, or the number of a load), with the versions they replaced."""
+        now = self.spark.table(table).drop(BUCKET)
+        if column == LOAD and LOAD not in now.columns:
+            now = now.withColumn(LOAD, F.lit(0).cast("bigint"))
+        new = now.where(F.col(column) > bound).drop(LOAD)
         side = f"{table}{BEFORE_SUFFIX}"
         if not self.exists(side):
             return new
-        old = self.read(side).where(F.col(REPLACED_AT) > bound).drop(REPLACED_AT)
-        return new.unionByName(old.select(*[c for c in old.columns if c in now.columns]), allowMissingColumns=True)
+        old = self.spark.table(side).drop(BUCKET)
+        old = old.where(F.col(LOAD if column == LOAD else REPLACED_AT) > bound)
+        return new.unionByName(old.select(*[c for c in old.columns if c in new.columns]), allowMissingColumns=True)
 
 
 def in_buckets(df: DataFrame, n: int, key: str) -> DataFrame:

@@ -92,9 +92,10 @@ def merge_rows(
     return kept.unionByName(source)
 
 
-def keep_stamps(new: DataFrame, old: DataFrame, key: str, stamp_col: str = STAMP) -> DataFrame:
-    """Rows of ``new`` that did not change keep the stamp they have in ``old``."""
-    values = [c for c in new.columns if c != stamp_col]
+def keep_stamps(new: DataFrame, old: DataFrame, key: str, stamp_col: str = STAMP, *also: str) -> DataFrame:
+    """Rows of ``new`` that did not change keep the stamp (and what else is named) that they have in ``old``."""
+    marks = [stamp_col, *also]
+    values = [c for c in new.columns if c not in marks]
     if set(new.columns) != set(old.columns):
         return new
     before = old.select(*[F.col(c).alias(f"__old_{c}") for c in new.columns])
@@ -103,4 +104,4 @@ def keep_stamps(new: DataFrame, old: DataFrame, key: str, stamp_col: str = STAMP
         if c != key:
             same = same & F.col(c).eqNullSafe(F.col(f"__old_{c}"))
     joined = new.join(before, same, "left")
-    return joined.select(*values, F.coalesce(f"__old_{stamp_col}", stamp_col).alias(stamp_col))
+    return joined.select(*values, *[F.coalesce(f"__old_{c}", c).alias(c) for c in marks])

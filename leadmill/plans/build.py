@@ -7,14 +7,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from leadmill.functions import stamp
-from leadmill.operators.tables import Warehouse
-from leadmill.operators.upsert import keep_stamps
-from leadmill.operators.watermarks import NEVER, affected_keys, both_sides, high_water, restrict_inputs
+from leadmill.operators.tables import LOAD, Warehouse
+from leadmill.operators.watermarks import affected_keys, both_sides, high_water, restrict_inputs
 from leadmill.plans.models import LAYERS, MODELS_BY_REF, ModelSpec, build_order
-from leadmill.registry import STAMP
 
 LAST_RUN = "leadmill.last_run"
-# One property for each input: the latest stamp that the model has read of it.
+# One property for each input: the last load that the model has read of it.
 SEEN = "leadmill.seen."
 
 
@@ -42,12 +40,20 @@ def run_model(
     before joining; ``full`` recomputes and upserts.
     """
     # Read before the inputs are, so that what is committed meanwhile counts as unseen.
-    seen = {name: warehouse.newest_change(table_of(ref), STAMP) for name, ref in spec.inputs.items()}
+    seen = {name: warehouse.newest_load(table_of(ref)) for name, ref in spec.inputs.items()}
+    before = seen_loads(warehouse, spec)
     _run_model(warehouse, spec, as_of, delta, on_duplicate_key)
-    noted = {f"{SEEN}{name}": t.isoformat() for name, t in seen.items() if t is not None}
+    noted = {f"{SEEN}{name}": str(max(load, before.get(name, 0))) for name, load in seen.items()}
     warehouse.set_properties(spec.table, **{LAST_RUN: as_of.isoformat(), **noted})
 
 
+def seen_loads(warehouse: Warehouse, spec: ModelSpec) -> dict[str, int]:
+    """The last load of each input that a model has read, where one is noted."""
+    notes = warehouse.properties(spec.table) if warehouse.exists(spec.table) else {}
+    found = {name: notes.get(f"{SEEN}{name}", "") for name in spec.inputs}
+    return {name: int(load) for name, load in found.items() if load.isdigit()}
+
+
 def _run_model(warehouse: Warehouse, spec: ModelSpec, as_of: datetime, delta: str, on_duplicate_key: str) -> None:
     inputs = read_inputs(warehouse, spec)
     exact = delta == "affected_keys"
@@ -57,9 +63,7 @@ def _run_model(warehouse: Warehouse, spec: ModelSpec, as_of: datetime, delta: st
     target = warehouse.read(spec.table)
     if spec.materialized == "table":
         rows = spec.build(**inputs, as_of=as_of)
-        if exact and spec.key:
-            rows = keep_stamps(rows, target, spec.key)
-        warehouse.replace(spec.table, rows)
+        warehouse.replace(spec.table, rows, unchanged_by=spec.key if exact else None)
         return
     options = dict(on_duplicate_key=on_duplicate_key, on_schema_change=spec.on_schema_change)
     if spec.full_refresh or delta == "full":
@@ -79,17 +83,12 @@ def _run_model(warehouse: Warehouse, spec: ModelSpec, as_of: datetime, delta: st
 def _run_affected(
     warehouse: Warehouse, spec: ModelSpec, inputs: dict[str, DataFrame], target: DataFrame, as_of: datetime
 ) -> None:
-    notes = warehouse.properties(spec.table)
-    last_run = notes.get(LAST_RUN)
+    last_run = warehouse.properties(spec.table).get(LAST_RUN)
     bound = stamp(datetime.fromisoformat(last_run)) if last_run else high_water(target)
-
-    def unseen_after(name: str):
-        """What was read bounds the delta, not the clock: a row may be committed after runs later than its stamp."""
-        noted = notes.get(f"{SEEN}{name}")
-        return stamp(datetime.fromisoformat(noted)) if noted else F.lit(NEVER).cast("timestamp_ntz")
-
+    # What was read bounds the delta, not the clock: a load may be committed after runs later than its rows' stamps.
+    seen = seen_loads(warehouse, spec)
     changed = {
-        name: warehouse.changed_since(table_of(spec.inputs[name]), STAMP, unseen_after(name) if last_run else bound)
+        name: warehouse.changed_since(table_of(spec.inputs[name]), LOAD, F.lit(seen.get(name, -1)))
         for name in inputs
         if name == spec.driver or name in spec.links
     }
@@ -127,17 +126,15 @@ def build(
 
 def forget_seen(warehouse: Warehouse) -> None:
     """Drop the tracked row versions that every model which reads them has taken in."""
-    until: dict[str, datetime | None] = {}
+    until: dict[str, int] = {}
     for spec in MODELS_BY_REF.values():
-        notes = warehouse.properties(spec.table) if warehouse.exists(spec.table) else {}
+        seen = seen_loads(warehouse, spec)
         for name, ref in spec.inputs.items():
-            noted = notes.get(f"{SEEN}{name}")
-            at, table = datetime.fromisoformat(noted) if noted else None, table_of(ref)
-            known = until.get(table, at)
-            until[table] = None if at is None or known is None else min(known, at)
-    for table, at in until.items():
-        if at is not None:
-            warehouse.forget(table, at)
+            table = table_of(ref)
+            until[table] = min(seen.get(name, 0), until.get(table, seen.get(name, 0)))
+    for table, load in until.items():
+        if load:
+            warehouse.forget(table, load)
 
 
 def build_all(warehouse: Warehouse, as_of: datetime, **options) -> list[str]:

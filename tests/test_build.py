@@ -132,6 +132,37 @@ def test_rows_committed_late_are_staged(spark, databases):
     assert rows(w.read(spec.table).select("account_id")) == [("1",), ("2",)]
 
 
+def test_loads_committed_out_of_order_are_staged(spark, databases):
+    """A load with an earlier stamp that is committed after a later-stamped one was read."""
+    w, spec = databases, STAGING_MODELS["account"]
+    schema = ENTITIES["account"].schema()
+    row = lambda i: (i, "name", None, None, None, LOAD1)
+
+    def load(i, at):
+        w.upsert("raw.account", spark.createDataFrame([row(i)], schema), "account_id", loaded_at=at)
+
+    load("1", datetime(2024, 2, 1, 6))
+    run_model(w, spec, datetime(2024, 2, 1, 7))
+    load("3", datetime(2024, 2, 1, 6, 45))
+    run_model(w, spec, datetime(2024, 2, 1, 8))
+    load("2", datetime(2024, 2, 1, 6, 30))
+    run_model(w, spec, datetime(2024, 2, 1, 9))
+    assert rows(w.read(spec.table).select("account_id")) == [("1",), ("2",), ("3",)]
+
+
+def test_load_numbers_survive_replacement_and_loss_of_rows(spark, databases):
+    w, ddl = Warehouse(spark, buckets=2), "k bigint, v string, last_modified_timestamp timestamp_ntz"
+    one = lambda k, v: spark.createDataFrame([(k, v, LOAD1)], ddl)
+    w.upsert("raw.n", one(1, "a"), "k")
+    w.upsert("raw.n", one(2, "b"), "k")
+    assert w.newest_load("raw.n") == 2 and w.read("raw.n").columns == ["k", "v", "last_modified_timestamp"]
+    w.replace_keys("raw.n", one(9, "z").limit(0), one(2, "b").select("k"), "k")
+    w.upsert("raw.n", one(3, "c"), "k")
+    assert rows(w.changed_since("raw.n", "load_no", F.lit(2)).select("k")) == [(3,)]
+    w.replace("raw.n", w.read("raw.n").unionByName(one(4, "d")), unchanged_by="k")
+    assert rows(w.changed_since("raw.n", "load_no", F.lit(4)).select("k")) == [(4,)]
+
+
 def test_tracked_versions_are_forgotten(spark, databases):
     w = Warehouse(spark, buckets=2)
     load(w, random_tables(5, LOAD1), LOAD1)
