@@ -128,13 +128,13 @@ def newest_rows(spec: EntitySpec, df: DataFrame) -> DataFrame:
     return dedupe_by_key(df, spec.key, [F.col("batch_id").desc(), F.col("file_path").desc()])
 
 
-def record_rejects(warehouse: Warehouse, rejects: DataFrame, files: DataFrame) -> None:
+def record_rejects(warehouse: Warehouse, rejects: DataFrame, files: DataFrame, table: str = REJECT_TABLE) -> None:
     """Put the rejects of ``files`` (file_path) in place of those that these files left before."""
     rejects = rejects.select("file_path", "message", "count", "load_timestamp", "entity", "batch_id")
-    if warehouse.exists(REJECT_TABLE):
-        warehouse.replace_keys(REJECT_TABLE, rejects, files.select("file_path").distinct(), "file_path")
+    if warehouse.exists(table):
+        warehouse.replace_keys(table, rejects, files.select("file_path").distinct(), "file_path")
     else:
-        warehouse.write(REJECT_TABLE, rejects, ["entity", "batch_id"])
+        warehouse.write(table, rejects, ["entity", "batch_id"])
 
 
 def load_batch(
@@ -146,6 +146,7 @@ def load_batch(
     unread: DataFrame | None = None,
     files: DataFrame | None = None,
     lock: Lock | None = None,
+    database: str = "raw",
     **upsert_options,
 ) -> None:
     """Clean, record rejects, conform, keep the newest row per key, and write the raw table.
@@ -159,10 +160,10 @@ def load_batch(
     if unread is not None:
         rejects = rejects.unionByName(unread)
     with lock or Lock():
-        record_rejects(warehouse, rejects, raw if files is None else files)
+        record_rejects(warehouse, rejects, raw if files is None else files, f"{database}.{REJECT_TABLE.split('.')[1]}")
     rows = newest_rows(spec, conform(spec, cleaned)).drop("file_path")
     options = {"newer_by": "batch_id", **upsert_options} if mode == "upsert" else upsert_options
-    publish(warehouse, spec, rows, mode=mode, loaded_at=loaded_at, **options)
+    publish(warehouse, spec, rows, database, mode=mode, loaded_at=loaded_at, **options)
 
 
 def read_state(warehouse: Warehouse) -> DataFrame:

@@ -10,9 +10,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from leadmill.operators.tables import Warehouse
 from leadmill.plans.flow import load_batch
 from leadmill.registry import EntitySpec
-from leadmill.sources.batches import batch_id_of, entity_glob
+from leadmill.sources.batches import batch_id_of, by_footer, entity_glob, read_groups
 from leadmill.functions import parse_batch_id
 
+# Fixed value: the columns of Spark's reader of whole files. Contents are never asked for.
+FILE_COLUMNS = "path string, modificationTime timestamp, length bigint, content binary"
+# File names of a micro-batch, at most.
+FILES_AT_ONCE = 1000
+
 
 def read_landing(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Stream of the files that match a path pattern.
@@ -30,24 +35,40 @@ def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame,
     query.start().awaitTermination()
 
 
+def file_names(spark: SparkSession, pattern: str, at_once: int = FILES_AT_ONCE) -> DataFrame:
+    """Stream of the paths of the files that match a pattern; their contents are not read."""
+    reader = spark.readStream.format("binaryFile").schema(FILE_COLUMNS).option("maxFilesPerTrigger", at_once)
+    return reader.load(pattern).select(F.col("path").alias("file_path"), batch_id_of(F.col("path")).alias("batch_id"))
+
+
 def ingest(
     warehouse: Warehouse,
     root: str,
     spec: EntitySpec,
     checkpoint: str,
     loaded_at: Callable[[], datetime] = datetime.now,
-    schema: T.StructType | None = None,
+    database: str = "raw",
+    at_once: int = FILES_AT_ONCE,
     **upsert_options,
 ) -> None:
     """Upsert the new files of one entity into its raw table.
 
-    A micro-batch that runs again after a failure upserts the same rows and changes nothing. The
-    checkpoint moves only after the write.
+    The stream carries file names. Each micro-batch reads its files as a batch load does: grouped by the schema in
+    their footers and brought to common types, so files that differ from those of other batches do no harm. A
+    micro-batch that runs again after a failure upserts the same rows and changes nothing. The checkpoint moves only
+    after the write; an unreadable file fails its micro-batch.
     """
-    path = F.col("_metadata.file_path")
-    stream = read_landing(warehouse.spark, entity_glob(root, spec.name), schema)
-    stream = stream.select("*", batch_id_of(path).alias("batch_id"), path.alias("file_path"))
-    stream = stream.where(parse_batch_id(F.col("batch_id")).isNotNull())
-    run_available(
-        stream, checkpoint, lambda df, _: load_batch(warehouse, spec, df, loaded_at(), **upsert_options)
-    )
+    names = file_names(warehouse.spark, entity_glob(root, spec.name), at_once)
+    names = names.where(parse_batch_id(F.col("batch_id")).isNotNull())
+
+    def load(batch: DataFrame, _: int) -> None:
+        files = batch.collect()  # at most ``at_once`` names
+        groups = by_footer(warehouse.spark, [r["file_path"] for r in files])
+        if groups.unreadable:
+            raise ValueError(f"unreadable files of {spec.name}: {groups.unreadable[:3]}")
+        rows = read_groups(warehouse.spark, groups)
+        if rows is not None:
+            listed = warehouse.spark.createDataFrame(files)
+            load_batch(warehouse, spec, rows, loaded_at(), files=listed, database=database, **upsert_options)
+
+    run_available(names, checkpoint, load)
