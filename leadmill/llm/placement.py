@@ -63,7 +63,8 @@ def place(docs: DataFrame, tree: Tree | None = None, grown: Tree | None = None)
 
     size is the text's UTF-8 bytes plus one (null: one), the checksum of a null text is that of an empty one. Rows
     with one doc_id share a shard, those without an id do too (their key is empty). slot counts a shard's rows from
-    0 in the order of a hash of doc_id, then doc_id, size and checksum; repeated rows get a slot each. grown_shard is
+    0 in the order of a hash of doc_id (without one: of size and checksum), then doc_id, size and checksum; repeated
+    rows get a slot each. grown_shard is
     the shard in the tree ``grown``, by default one with one more shard. Other columns are not looked at.
     """
     prepare(docs.sparkSession)
@@ -72,12 +73,14 @@ def place(docs: DataFrame, tree: Tree | None = None, grown: Tree | None = None)
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     parts = max(64, -(-docs.count() // (SHARDS * PER_GROUP)))
-    order = F.md5(key)
+    size, checksum = (F.octet_length(text) + 1).cast("long"), F.crc32(text)
+    # rows without an id have one key; their texts deal them out
+    order = F.md5(F.when(F.col("doc_id").isNull(), F.concat_ws("|", F.lit(""), size, checksum)).otherwise(key))
     part = F.floor(F.conv(F.substring(order, 1, 8), 16, 10).cast("long") * parts / (1 << 32)).cast("int")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        (F.octet_length(text) + 1).cast("long").alias("size"),
-        F.crc32(text).alias("text_crc32"),
+        size.alias("size"),
+        checksum.alias("text_crc32"),
         shard_of(key, tree).alias("shard"),
         shard_of(key, grown).alias("grown_shard"),
         order.alias("order"),

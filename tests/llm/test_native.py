@@ -54,8 +54,43 @@ def test_base_scan_is_its_definition(spark):
 )
 def test_rules(spark, text, labels):
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
-    got = licenses.scan(docs).first()["labels"]
-    assert got == labels or labels and set(labels.split(",")) <= set(got.split(","))
+    assert licenses.scan(docs).first()["labels"] == labels
+
+
+FSF = "you can redistribute it and/or modify it under the terms of the GNU {0} as published by the Free Software Foundation; either version {1} of the License, or (at your option) any later version. This program comes WITHOUT ANY WARRANTY. See the GNU {0} for more details."
+
+
+@pytest.mark.parametrize(
+    "text,labels",
+    [
+        (FSF.format("General Public License", "2"), "gpl-2"),
+        (FSF.format("General Public License", "3"), "gpl-3"),
+        (FSF.format("Lesser General Public License", "2.1"), "lgpl-2.1"),
+        (FSF.format("Library General Public License", "2"), "lgpl-2"),
+        (FSF.format("Affero General Public License", "3"), "agpl-3"),
+        ("Released under a GPL license.", "gpl"),
+        ("under the GNU General Public License version 1", "gpl-1"),
+        ("Licensed under the LGPL.", "lgpl"),
+        ("released under the Mozilla Public License", "mpl"),
+        ("under the Apache license", "apache"),
+        ("released under the Apache License, Version 2.0", "apache-2"),
+        ("SPDX-License-Identifier: GPL-3.0-only", "gpl-3"),
+        ("SPDX-License-Identifier: Artistic-2.0", "artistic-2"),
+        ("GPLv2 and AGPLv3, MPL 2.0", "agpl-3,gpl-2,mpl-2"),
+        ("expat version 2.4 and zlib version 1.2.11", ""),
+        ("X11 version 7 server, Apache 2.4.41, BSD 4.4", ""),
+        ("an artistic 2 day event", ""),
+        ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2"),
+        ("The Software shall be used for Good, not Evil.", "json"),
+    ],
+)
+def test_labels_state_what_the_text_states(spark, text, labels):
+    assert licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()["labels"] == labels
+
+
+def test_passages_lie_within_the_intervals(spark):
+    both = FSF.format("General Public License", "2") + " Parts are licensed under the LGPL version 3."
+    assert licenses.scan(spark.createDataFrame([(1, both)], "doc_id long, text string")).first()["labels"] == "gpl-2,lgpl-3"
 
 
 @pytest.mark.parametrize(
@@ -102,6 +137,14 @@ def test_texts_of_licenses(spark, text, label):
     assert got[1]["labels"] == label and got[1]["score"] == 1.0 and got[1]["n_base"] == 0
 
 
+def test_rows_without_an_id_are_dealt_to_several_parts(spark):
+    docs = spark.range(400).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    out = placement.place(docs).collect()
+    assert len({r["shard"] for r in out}) == 1 and sorted(r["slot"] for r in out) == list(range(400))
+    by_slot = [r["text_crc32"] for r in sorted(out, key=lambda r: r["slot"])]
+    assert by_slot != sorted(by_slot) and len(set(by_slot)) == 400
+
+
 def test_a_longer_detection_suppresses_what_it_holds(spark):
     docs = spark.createDataFrame([(1, "licensed under the gnu lesser general public license version 3")], "doc_id long, text string")
     assert licenses.scan(docs).first()["labels"] == "lgpl-3"
