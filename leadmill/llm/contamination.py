@@ -51,28 +51,37 @@ class Item:
         return out
 
     def choose(self, least: float, seen: dict[int, int]) -> None:
-        """Lay one more disjoint seeds than there can be breaks, with the fewest occurrences in the corpus."""
+        """Lay one more disjoint seeds than there can be breaks, with the fewest occurrences in the corpus.
+
+        Seeds have ``size`` or ``size + 1`` words, so the first k of them end less than ``size * k + spare`` words from
+        the start: one row of ``spare`` costs a seed, of which two bits a cell are kept to find the way back.
+        """
         n, count = len(self.code), self.breaks(least) + 1
-        ends = defaultdict(list)
-        for at, size, code in self.candidates(least):
-            ends[at + size].append((at, size, code, seen.get(code, 0)))
-        none = float("inf")
-        best = [[0.0] * (n + 1)] + [[none] * (n + 1) for _ in range(count)]
-        came: dict[tuple[int, int], tuple | None] = {}
-        for k in range(1, count + 1):
-            for e in range(1, n + 1):
-                best[k][e], came[k, e] = best[k][e - 1], None
-                for at, size, code, times in ends[e]:
-                    if best[k - 1][at] + times < best[k][e]:
-                        best[k][e], came[k, e] = best[k - 1][at] + times, (at, size, code)
-        k, e = count, n
-        while k:
-            step = came[k, e]
-            if step is None:
+        size = max(1, n // count)
+        spare = n - size * count
+        cost = np.full((2, n + 1), np.inf)
+        code = np.zeros((2, n + 1), np.uint64)
+        for at, words_, gram in self.candidates(least):
+            cost[words_ - size, at], code[words_ - size, at] = seen.get(gram, 0), gram
+        best = np.zeros(spare + 1)
+        same, longer = [], []
+        for k in range(count):
+            short = best + cost[0, size * k : size * k + spare + 1]
+            long = np.full(spare + 1, np.inf)
+            long[1:] = (best + cost[1, size * k : size * k + spare + 1])[:-1]
+            step = np.minimum(short, long)
+            best = np.minimum.accumulate(step)
+            same.append(np.packbits(np.append(False, best[1:] == best[:-1])))
+            longer.append(np.packbits(long < short))
+        e = spare
+        for k in reversed(range(count)):
+            kept = np.unpackbits(same[k])
+            while kept[e]:
                 e -= 1
-            else:
-                self.seeds.append(step)
-                k, e = k - 1, step[0]
+            more = int(np.unpackbits(longer[k])[e])
+            e -= more
+            at = size * k + e
+            self.seeds.append((at, size + more, int(code[more, at])))
 
 
 class Lookup:
@@ -99,28 +108,30 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     """Smith-Waterman score of two sequences of word hashes, and the aligned part [first, last] of the passage.
 
     Of equal scores, the alignment that ends first in the passage counts.
+    Only the row above is held, with the place where the best alignment that ends in a cell begins.
     """
     n = len(passage)
-    steps = -GAP * np.arange(1, n + 1)
-    table = np.zeros((len(item) + 1, n + 1), np.int64)
-    for i, word in enumerate(item, 1):
-        above = table[i - 1]
-        row = np.maximum(above[:-1] + np.where(passage == word, MATCH, MISMATCH), above[1:] + GAP)
-        row = np.maximum(row, 0)
-        table[i, 1:] = np.maximum.accumulate(row + steps) - steps  # gaps along the passage
-    score = int(table.max())
-    if score == 0:
-        return 0, -1, -1
-    j = int(np.flatnonzero((table == score).any(axis=0))[0])
-    i, last = int(np.flatnonzero(table[:, j] == score)[0]), j - 1
-    while table[i, j] > 0:
-        if table[i, j] == table[i - 1, j - 1] + (MATCH if item[i - 1] == passage[j - 1] else MISMATCH):
-            i, j = i - 1, j - 1
-        elif table[i, j] == table[i - 1, j] + GAP:
-            i -= 1
-        else:
-            j -= 1
-    return score, j, last
+    place = np.arange(n + 1)
+    above, began = np.zeros(n + 1, np.int64), place
+    best = (0, -1, -1)
+    for word in item:
+        row = np.zeros(n + 1, np.int64)
+        apart = above[:-1] + np.where(passage == word, MATCH, MISMATCH)
+        down = above[1:] + GAP
+        row[1:] = np.maximum(np.maximum(apart, down), 0)
+        row = np.maximum.accumulate(row - GAP * place) + GAP * place  # gaps along the passage
+        begins = place.copy()
+        some = row[1:] > 0
+        by_pair, by_gap = some & (row[1:] == apart), some & (row[1:] == down)
+        begins[1:] = np.where(by_pair, began[:-1], np.where(by_gap, began[1:], place[1:]))
+        own = np.append(True, ~some | by_pair | by_gap)
+        begins = begins[np.maximum.accumulate(np.where(own, place, 0))]
+        j = int(row.argmax())
+        score = int(row[j])
+        if score > best[0] or score == best[0] > 0 and j - 1 < best[2]:
+            best = (score, int(begins[j]), j - 1)
+        above, began = row, begins
+    return best
 
 
 class Matcher:

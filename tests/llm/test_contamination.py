@@ -96,3 +96,37 @@ def test_empty_tables(spark):
     bench = spark.createDataFrame([(1, "a b c"), (1, "a b c")], "item_id long, text string")
     assert S.contaminated(docs.limit(0), bench).collect() == []
     assert S.contaminated(docs, bench).count() == 1
+
+
+def test_seeds_are_disjoint_and_the_rarest():
+    rng = random.Random(8)
+    for _ in range(200):
+        item = S.Item(1, " ".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 14))))
+        least = rng.choice([0.5, 0.7, 0.9])
+        options = sorted(item.candidates(least))
+        seen = {gram: rng.randrange(5) for *_, gram in options}
+        item.choose(least, seen)
+        count = item.breaks(least) + 1
+        ways = {0: {0: 0}}  # seeds laid -> where the last one ends -> occurrences
+        for k in range(count):
+            ways[k + 1] = {}
+            for end, cost in ways[k].items():
+                for at, size, gram in options:
+                    if at >= end:
+                        now = cost + seen[gram]
+                        ways[k + 1][at + size] = min(ways[k + 1].get(at + size, now), now)
+        assert sum(seen[gram] for *_, gram in item.seeds) == min(ways[count].values())
+        assert len(item.seeds) == count and set(item.seeds) <= set(options)
+        taken = [w for at, size, _ in item.seeds for w in range(at, at + size)]
+        assert len(taken) == len(set(taken))
+
+
+def test_an_item_as_long_as_a_long_document(spark):
+    rng = random.Random(9)
+    item = [f"w{rng.randrange(5000)}" for _ in range(20_000)]
+    copy = edited(rng, item, [f"w{i}" for i in range(5000)], 2_000)
+    other = [f"w{rng.randrange(5000)}" for _ in range(20_000)]
+    docs = spark.createDataFrame([(1, " ".join(["x"] * 50 + copy)), (2, " ".join(other))], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = S.contaminated(docs, bench).collect()
+    assert [(r["doc_id"], r["item_id"]) for r in got] == [(1, 7)] and got[0]["score"] > 0.8 and got[0]["first_word"] >= 50
