@@ -132,32 +132,61 @@ CTES["dim_opportunity_performance"] = f"""
     LEFT JOIN stg_account a ON a.account_id = o.account_id
     LEFT JOIN stg_campaign k ON k.campaign_id = o.campaign_id"""
 
+# Who an engagement reaches in its campaign: a contact, known or not, and each lead that became that contact.
+CTES["reached"] = """
+    SELECT r.engagement_id, r.contact_id, send.campaign_id, person.contact_id AS person_id, stg_lead.lead_id
+    FROM stg_email_engagement r
+    LEFT JOIN (SELECT send_id, campaign_id FROM stg_email_send SEMI JOIN stg_campaign USING (campaign_id)) send
+      USING (send_id)
+    LEFT JOIN stg_contact person ON person.contact_id = r.contact_id
+    LEFT JOIN stg_lead ON stg_lead.converted_contact_id = person.contact_id"""
+
+
+def reached_by(table: str, columns: str, campaign: str, *arms: tuple[str, str]) -> str:
+    """Pairs of an engagement's lead (or none) and what of ``table`` it reaches: by one equality or another, once."""
+    return " UNION ".join(
+        f"SELECT engagement_id, lead_id, {columns} FROM reached "
+        f"JOIN (SELECT {columns}, {campaign} AS at_campaign, {theirs} AS who FROM {table}) "
+        f"ON at_campaign = reached.campaign_id AND who = reached.{ours}"
+        for ours, theirs in arms
+    )
+
+
+CTES["reached_opportunity"] = reached_by(
+    "stg_opportunity", "opportunity_sk, opportunity_id, opportunity_name", "campaign_id",
+    ("person_id", "account_id"), ("lead_id", "account_id"),
+)
+CTES["reached_event"] = reached_by(
+    "stg_event", "event_sk, event_id, type, start_date_time", "related_campaign_id",
+    ("contact_id", "related_contact_id"), ("lead_id", "related_lead_id"),
+)
+CTES["reached_member"] = reached_by(
+    "stg_campaign_member", "member_sk, member_id", "campaign_id", ("contact_id", "contact_id"), ("lead_id", "lead_id")
+)
+_SAME = "{0}.engagement_id = reached.engagement_id AND {0}.lead_id IS NOT DISTINCT FROM reached.lead_id"
+
 CTES["fact_marketing_performance"] = f"""
-    SELECT md5(COALESCE(g.engagement_sk, '') || COALESCE(v.event_sk, '') || COALESCE(o.opportunity_sk, '')) AS fact_sk,
-           g.engagement_sk, g.engagement_id, g.engagement_type, g.engagement_timestamp, g.link_url,
-           g.engagement_type = 'Open' AS is_open, g.engagement_type = 'Click' AS is_click,
-           d.send_sk, d.send_id, d.email_template_id, d.send_date, d.subject_line,
-           k.campaign_sk, k.campaign_id, k.campaign_name,
-           p.contact_sk, p.contact_id, p.first_name AS contact_first_name, p.last_name AS contact_last_name,
-           a.lead_sk, a.lead_id, a.first_name AS lead_first_name, a.last_name AS lead_last_name,
-           o.opportunity_sk, o.opportunity_id, o.opportunity_name, v.event_sk, v.event_id, v.type AS event_type,
-           m.member_sk, m.member_id,
-           CAST(COALESCE(g.engagement_timestamp, v.start_date_time) AS DATE) AS engagement_date,
-           hour(COALESCE(g.engagement_timestamp, v.start_date_time)) AS engagement_hour,
-           datediff('day', CAST(k.start_date AS DATE),
-                    CAST(COALESCE(g.engagement_timestamp, v.start_date_time) AS DATE)) AS days_since_campaign_start,
-           {STAMPED}
-    FROM stg_email_engagement g
-    LEFT JOIN stg_email_send d ON d.send_id = g.send_id
-    LEFT JOIN stg_campaign k ON k.campaign_id = d.campaign_id
-    LEFT JOIN stg_contact p ON p.contact_id = g.contact_id
-    LEFT JOIN stg_lead a ON a.converted_contact_id = p.contact_id
-    LEFT JOIN stg_opportunity o ON o.campaign_id = k.campaign_id
-         AND (o.account_id = p.contact_id OR (a.lead_id IS NOT NULL AND o.account_id = a.lead_id))
-    LEFT JOIN stg_event v ON v.related_campaign_id = k.campaign_id
-         AND (v.related_contact_id = g.contact_id OR v.related_lead_id = a.lead_id)
-    LEFT JOIN stg_campaign_member m ON m.campaign_id = k.campaign_id
-         AND (m.contact_id = g.contact_id OR m.lead_id = a.lead_id)"""
+    SELECT md5(concat(engagement_sk, event_sk, opportunity_sk)) AS fact_sk,
+           * EXCLUDE (moment, start_date), CAST(moment AS DATE) AS engagement_date, hour(moment) AS engagement_hour,
+           datediff('day', CAST(start_date AS DATE), CAST(moment AS DATE)) AS days_since_campaign_start, {STAMPED}
+    FROM (SELECT sent.engagement_sk, sent.engagement_id, sent.engagement_type, sent.engagement_timestamp, sent.link_url,
+                 sent.engagement_type = 'Open' AS is_open, sent.engagement_type = 'Click' AS is_click,
+                 stg_email_send.send_sk, stg_email_send.send_id, email_template_id, send_date, subject_line,
+                 stg_campaign.campaign_sk, stg_campaign.campaign_id, stg_campaign.campaign_name, start_date,
+                 stg_contact.contact_sk, stg_contact.contact_id,
+                 stg_contact.first_name AS contact_first_name, stg_contact.last_name AS contact_last_name,
+                 lead_sk, reached.lead_id, stg_lead.first_name AS lead_first_name, stg_lead.last_name AS lead_last_name,
+                 opportunity_sk, opportunity_id, opportunity_name, event_sk, event_id, happened.type AS event_type,
+                 member_sk, member_id, COALESCE(sent.engagement_timestamp, start_date_time) AS moment
+          FROM reached
+          JOIN stg_email_engagement sent ON sent.engagement_id = reached.engagement_id
+          LEFT JOIN stg_email_send ON stg_email_send.send_id = sent.send_id
+          LEFT JOIN stg_campaign ON stg_campaign.campaign_id = reached.campaign_id
+          LEFT JOIN stg_contact ON stg_contact.contact_id = reached.person_id
+          LEFT JOIN stg_lead ON stg_lead.lead_id = reached.lead_id
+          LEFT JOIN reached_opportunity won ON {_SAME.format('won')}
+          LEFT JOIN reached_event happened ON {_SAME.format('happened')}
+          LEFT JOIN reached_member joined ON {_SAME.format('joined')})"""
 
 CTES["fct_campaign_performance"] = f"""
     SELECT {sk('campaign_sk', 'date_key')} AS campaign_date_sk, *, {STAMPED}
@@ -176,24 +205,38 @@ CTES["fct_campaign_performance"] = f"""
           LEFT JOIN dim_opportunity_performance o ON o.campaign_id = k.campaign_id
           GROUP BY ALL)"""
 
+# A member's people: the contact and each of its leads; of members without a contact, none.
+CTES["member_people"] = """
+    SELECT campaign_id, member_sk, total_engagements, email_opens, event_attendances, contact_sk, lead_sk, is_converted,
+           days_to_convert
+    FROM (SELECT campaign_id, member_sk, total_engagements, email_opens, event_attendances, contact_id
+          FROM dim_campaign_member_engagement)
+    LEFT JOIN (SELECT contact_id, contact_sk, lead_sk, is_converted, days_to_convert
+               FROM (SELECT contact_id, contact_sk FROM dim_contact_engagement)
+               LEFT JOIN dim_lead_conversion ON converted_contact_id = contact_id) USING (contact_id)"""
+
+# Every day of a campaign's span; one null day for a campaign whose span holds none.
+CTES["campaign_day"] = f"""
+    SELECT campaign_id, UNNEST(CASE WHEN len(days) > 0 THEN days ELSE [NULL] END) AS date_key
+    FROM (SELECT campaign_id, start_date, COALESCE(end_date, {TODAY}) AS last,
+                 list_filter((SELECT list(date_key) FROM dim_date), lambda d: d BETWEEN start_date AND last) AS days
+          FROM dim_campaign)"""
+
+_DAILY_KEY = sk("campaign_sk", "member_sk", "contact_sk", "lead_sk", "opportunity_sk", "date_key")
 CTES["fct_daily_performance"] = f"""
-    SELECT {sk('campaign_sk', 'member_sk', 'contact_sk', 'lead_sk', 'opportunity_sk', 'date_key')}
-             AS daily_performance_sk, *, {STAMPED}
-    FROM (SELECT k.campaign_sk, m.member_sk, p.contact_sk, a.lead_sk, o.opportunity_sk, t.date_key,
-                 k.budget AS campaign_budget, q.unique_recipients, q.total_opens, q.total_clicks,
-                 m.total_engagements, m.email_opens, m.event_attendances, a.is_converted, a.days_to_convert,
-                 o.amount AS opportunity_amount, o.days_open, o.is_won,
-                 CASE WHEN q.unique_recipients > 0
-                      THEN CAST(q.total_opens AS DOUBLE) / q.unique_recipients END AS open_rate,
-                 CASE WHEN q.total_opens > 0
-                      THEN CAST(q.total_clicks AS DOUBLE) / q.total_opens END AS click_through_rate
-          FROM dim_campaign k
-          LEFT JOIN dim_campaign_performance q ON q.campaign_id = k.campaign_id
-          LEFT JOIN dim_campaign_member_engagement m ON m.campaign_id = k.campaign_id
-          LEFT JOIN dim_contact_engagement p ON p.contact_id = m.contact_id
-          LEFT JOIN dim_lead_conversion a ON a.converted_contact_id = p.contact_id
-          LEFT JOIN dim_opportunity_performance o ON o.campaign_id = k.campaign_id
-          LEFT JOIN dim_date t ON t.date_key >= k.start_date AND t.date_key <= COALESCE(k.end_date, {TODAY}))"""
+    SELECT {_DAILY_KEY} AS daily_performance_sk,
+           campaign_sk, member_sk, contact_sk, lead_sk, opportunity_sk, date_key, campaign_budget, unique_recipients,
+           total_opens, total_clicks, total_engagements, email_opens, event_attendances, is_converted, days_to_convert,
+           opportunity_amount, days_open, is_won, open_rate, click_through_rate, {STAMPED}
+    FROM (SELECT campaign_id, campaign_sk, budget AS campaign_budget FROM dim_campaign)
+    JOIN (SELECT campaign_id, unique_recipients, total_opens, total_clicks,
+                 CASE WHEN unique_recipients > 0 THEN CAST(total_opens AS DOUBLE) / unique_recipients END AS open_rate,
+                 CASE WHEN total_opens > 0 THEN CAST(total_clicks AS DOUBLE) / total_opens END AS click_through_rate
+          FROM dim_campaign_performance) USING (campaign_id)
+    JOIN campaign_day USING (campaign_id)
+    LEFT JOIN member_people USING (campaign_id)
+    LEFT JOIN (SELECT campaign_id, opportunity_sk, amount AS opportunity_amount, days_open, is_won
+               FROM dim_opportunity_performance) USING (campaign_id)"""
 
 CTES["fct_event_performance"] = f"""
     SELECT {sk('event_id')} AS event_outcome_sk, *, {STAMPED}
