@@ -18,10 +18,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from leadmill.functions import epoch_ns_to_ts, is_time_type, parse_batch_id, stamp
 from leadmill.functions.times import BATCH_ID_PATTERN
+from leadmill.sources.footers import footers
 
 FILE_SCHEMA = "file_path string, file_size bigint, committed_at timestamp_ntz, batch_id string"
-# Footers that are read side by side, and names that one path pattern may hold.
-FOOTERS, PATTERN_NAMES = 16, 200
+# Schemas that are inferred side by side, and names that one path pattern may hold.
+INFERRED, PATTERN_NAMES = 16, 200
+# What Spark says of broken files.
+BROKEN = ("CANNOT_READ_FILE_FOOTER", "is not a Parquet file", "PARQUET_TYPE", "UNABLE_TO_INFER_SCHEMA")
 
 
 def batch_id_of(path: Column) -> Column:
@@ -29,6 +32,11 @@ def batch_id_of(path: Column) -> Column:
     return F.regexp_extract(path, r"/([^/]+)/[^/]+\.parquet(/[^/]*)?$", 1)
 
 
+def plain_path(path: Column) -> Column:
+    """A file's path in the rows it gives, as listings of files write it: without percent signs for other characters."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def entity_glob(root: str, entity: str) -> str:
     return f"{root.rstrip('/')}/*/{entity}.parquet"
 
@@ -113,29 +121,53 @@ def newer_batches(df: DataFrame, after: str | None, column: str = "batch_id") ->
 
 @dataclass
 class FileGroups:
-    """Files by the schema in their footers, and the files whose footers cannot be read, with the reason."""
+    """Files by the schema in their footers, and the files whose footers cannot be read, with the reason.
+
+    ``rows`` says how many rows a file's footer announces, where footers were read by tasks.
+    """
 
     groups: list[tuple[T.StructType, list[str]]] = field(default_factory=list)
     unreadable: list[tuple[str, str]] = field(default_factory=list)
+    rows: dict[str, int] = field(default_factory=dict)
 
 
-def by_footer(spark: SparkSession, paths: Iterable[str]) -> FileGroups:
-    """Read the footers of the given files and no others."""
+def _inferred(spark: SparkSession, path: str) -> tuple[T.StructType | None, str]:
+    """The schema as Spark reads it, or why the file has none; a store that fails is an error."""
+    try:
+        return spark.read.parquet(path).schema, ""
+    except Exception as error:  # noqa: BLE001 - only what the file itself is to blame for is kept
+        said = [line for line in str(error).splitlines() if any(sign in line for sign in BROKEN)]
+        if not said:
+            raise
+        return None, said[0].strip()[:200]
 
-    def footer(path: str) -> tuple[str, T.StructType | None, str]:
-        try:
-            return path, spark.read.parquet(path).schema, ""
-        except Exception as error:  # noqa: BLE001 - reported with the file, the others go on
-            return path, None, str(error).splitlines()[0][:200]
 
-    out, found = FileGroups(), defaultdict(list)
-    with ThreadPoolExecutor(FOOTERS) as pool:
-        for path, schema, error in pool.map(footer, sorted(paths)):
+def by_footer(spark: SparkSession, paths: Iterable[str]) -> FileGroups:
+    """Read the footers of the given files and no others: one job for all, and one for each kind of schema.
+
+    Only a file that is no parquet file counts as unreadable. A store that cannot be reached is an error, as the file
+    may be sound.
+    """
+    paths, out, found = sorted(paths), FileGroups(), defaultdict(list)
+    if not paths:
+        return out
+    kinds: dict[str, list[str]] = {}
+    for r in footers(spark, paths).collect():
+        if r["message"] is not None:
+            out.unreadable.append((r["file_path"], r["message"]))
+        else:
+            kinds.setdefault(r["shape"] or r["file_path"], []).append(r["file_path"])
+            if r["rows"] is not None:
+                out.rows[r["file_path"]] = r["rows"]
+    with ThreadPoolExecutor(INFERRED) as pool:
+        for files, (schema, error) in zip(kinds.values(), pool.map(lambda own: _inferred(spark, min(own)), kinds.values())):
             if schema is None:
-                out.unreadable.append((path, error))
+                out.unreadable += [(path, error) for path in files]
             else:
-                found[schema.json()].append((schema, path))
-    out.groups = [(files[0][0], [path for _, path in files]) for files in found.values()]
+                found[schema.json()].append((schema, files))
+    out.unreadable.sort()
+    out.groups = [(same[0][0], sorted(path for _, files in same for path in files)) for same in found.values()]
+    out.groups.sort(key=lambda group: group[1][0])
     return out
 
 
@@ -180,7 +212,7 @@ def read_groups(spark: SparkSession, files: FileGroups, skip_corrupt: bool = Fal
 
     ``skip_corrupt`` also reads past files whose data, not only whose footer, cannot be read.
     """
-    path, frames = F.col("_metadata.file_path"), []
+    path, frames = plain_path(F.col("_metadata.file_path")), []
     for schema, paths in files.groups:
         reader = spark.read.schema(schema)
         if skip_corrupt:
@@ -212,16 +244,17 @@ def unread_files(spark: SparkSession, files: FileGroups, rows: DataFrame, entity
     ``rows`` are what was read. A file counts as read if it gave as many rows as its footer announces, so an empty
     file is not taken for a broken one.
     """
-    whole = None
+    whole = spark.createDataFrame(list(files.rows.items()), "file_path string, count bigint")
     for schema, paths in files.groups:
-        # Without columns only footers are read.
-        counts = spark.read.schema(schema).parquet(*paths).groupBy(F.col("_metadata.file_path").alias("file_path")).count()
-        whole = counts if whole is None else whole.unionByName(counts)
+        unknown = [p for p in paths if p not in files.rows]
+        if unknown:
+            # Without columns only footers are read.
+            path = plain_path(F.col("_metadata.file_path")).alias("file_path")
+            whole = whole.unionByName(spark.read.schema(schema).parquet(*unknown).groupBy(path).count())
     lines = spark.createDataFrame([(p, m) for p, m in files.unreadable], "file_path string, message string")
-    if whole is not None:
-        got = rows.groupBy(F.col("file_path").alias("__path")).agg(F.count(F.lit(1)).alias("__got"))
-        short = whole.join(got, whole["file_path"] == got["__path"], "left").where("coalesce(__got, 0) < count")
-        lines = lines.unionByName(short.select("file_path", F.lit("no readable rows").alias("message")))
+    got = rows.groupBy(F.col("file_path").alias("__path")).agg(F.count(F.lit(1)).alias("__got"))
+    short = whole.join(got, whole["file_path"] == got["__path"], "left").where("coalesce(__got, 0) < count")
+    lines = lines.unionByName(short.select("file_path", F.lit("no readable rows").alias("message")))
     return lines.select(
         F.lit(entity).alias("entity"), "file_path", batch_id_of(F.col("file_path")).alias("batch_id"),
         F.when(F.col("message") == "no readable rows", F.col("message")).otherwise(F.lit("unreadable file")).alias("message"),

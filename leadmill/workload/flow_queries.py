@@ -7,10 +7,19 @@ from pyspark.sql import DataFrame, functions as F
 from leadmill.operators.conform import clean, conform
 from leadmill.plans.flow import group_reports
 from leadmill.session import scratch_dir
-from leadmill.sources.batches import added_files, by_footer, change_summary, list_files, new_batches, read_entity
+from leadmill.sources.batches import (
+    added_files,
+    by_footer,
+    change_summary,
+    list_files,
+    new_batches,
+    read_entity,
+    read_groups,
+    unread_files,
+)
 from leadmill.workload.operator_queries import EXTRA, OPP
 from leadmill.workload.queries import Tables, register
-from leadmill.workload.views import LANDED_SQL, sql_on
+from leadmill.workload.views import AS_OF, LANDED_SQL, sql_on
 
 # Orders by priority, as batches that differ in types, columns and the case of names. The last is no batch.
 FOLDERS = {
@@ -80,3 +89,23 @@ def files_since(t: Tables) -> DataFrame:
     files = added_files(t.spark, land_mixed(t), "opportunity").where("batch_id LIKE '2024%'")
     per_batch = files.groupBy("batch_id").agg(F.max("committed_at").alias("committed_at"))
     return change_summary(per_batch).select(F.col("num_files").alias("num_batches"), "last_batch_id")
+
+
+@register(
+    "unread_files",
+    f"""SELECT CASE o_orderpriority {_BATCH.replace('not_a_batch', '2024-01-05_000000')} END AS batch_id,
+               COUNT(*) FILTER (WHERE o_orderpriority <> '5-LOW') AS "rows",
+               CAST(MAX(CASE WHEN o_orderpriority = '5-LOW' THEN 1 ELSE 0 END) AS BIGINT) AS unread
+        FROM orders GROUP BY ALL""",
+)
+def files_not_read(t: Tables) -> DataFrame:
+    """Rows of each batch, and files that gave none; the last batch's file is text under a parquet name."""
+    root = land_mixed(t)
+    notes = t.base["orders"].where("o_orderpriority = '5-LOW'").select(F.col("o_orderkey").cast("string"))
+    notes.coalesce(1).write.text(f"{root}/2024-01-05_000000/opportunity.parquet")
+    files = list_files(t.spark, root, "opportunity", new_batches(t.spark, root)).select("file_path").collect()
+    groups = by_footer(t.spark, [r[0] for r in files])
+    rows = read_groups(t.spark, groups, skip_corrupt=True)
+    missed = unread_files(t.spark, groups, rows, "opportunity", AS_OF).groupBy("batch_id").agg(F.sum("count").alias("unread"))
+    got = rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows"))
+    return got.join(missed, "batch_id", "full").na.fill(0, ["rows", "unread"])

@@ -12,7 +12,8 @@ from conftest import rows
 from leadmill.operators.rejects import write_reject_log
 from leadmill.plans.flow import clean_all, load_all, load_batch, read_state, watermark_of, write_clean_batches
 from leadmill.registry import ENTITIES, STAMP
-from leadmill.sources.batches import added_files, change_summary, discover_batches, list_files, read_cleaned, read_entity
+from leadmill.sources import batches
+from leadmill.sources.batches import added_files, by_footer, change_summary, discover_batches, list_files, read_cleaned, read_entity
 from leadmill.streaming.ingest import ingest
 
 B1, B2, B3 = "2025-05-31_123456", "2025-06-01_000000", "2025-06-02_000000"
@@ -271,3 +272,76 @@ def test_rejects_go_to_the_log(spark, databases, landing, tmp_path, caplog):
     assert "cannot read amount" in caplog.text
     (part,) = (tmp_path / "log").glob("part-*.json")
     assert json.loads(part.read_text())["batch_id"] == B2
+
+
+def jobs_of(spark, group, work):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        return work(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_footers_are_read_by_one_job(spark, tmp_path, monkeypatch):
+    root = tmp_path / "many"
+    for i in range(30):
+        land(root, f"2025-06-{i + 1:02}_000000", {"1": "1", "2": "2"}, **({"EXTRA": "x"} if i % 3 == 0 else {}))
+    paths = [str(p) for p in root.glob("*/opportunity.parquet")]
+    asked, infer = [], batches._inferred
+    monkeypatch.setattr(batches, "_inferred", lambda spark, path: asked.append(path) or infer(spark, path))
+    found, jobs = jobs_of(spark, "footers", lambda: by_footer(spark, paths))
+    assert jobs <= 2 and len(asked) == 2  # the job may shuffle the names first; schemas are inferred in other threads
+    assert [len(files) for _, files in found.groups] == [10, 20] and found.unreadable == []
+    assert found.rows == dict.fromkeys(paths, 2)
+    for schema, files in found.groups:
+        for path in files:
+            assert spark.read.parquet(path).schema == schema
+
+
+def test_only_what_is_no_parquet_file_is_unreadable(spark, tmp_path):
+    root = tmp_path / "a b%20c+d#e"
+    land(root, B1, {"1": "1"})
+    good = root / B1 / "opportunity.parquet"
+    body = good.read_bytes()
+    broken = {
+        "empty": b"", "short": b"PAR1", "text": b"not parquet at all, but long enough to look", "cut": body[:-20],
+        "long": b"PAR1" + (1 << 30).to_bytes(4, "little") + b"PAR1", "garbled": body[:-60] + b"\xff" * 52 + body[-8:],
+    }
+    for name, content in broken.items():
+        (root / f"{name}.parquet").write_bytes(content)
+    found = by_footer(spark, [f"file:{p}" for p in root.glob("*.parquet")] + [f"file:{good}"])
+    assert [p.rsplit("/", 1)[1].removesuffix(".parquet") for p, _ in found.unreadable] == sorted(broken)
+    assert all(message for _, message in found.unreadable)
+    assert [files for _, files in found.groups] == [[f"file:{good}"]] and found.rows == {f"file:{good}": 1}
+    # A file that is gone, or a store that Arrow does not know, says nothing about the file.
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        by_footer(spark, [f"file:{root}/gone.parquet"])
+    with pytest.raises(Exception, match="nostore"):
+        by_footer(spark, ["nostore://host/x.parquet"])
+    assert by_footer(spark, []).groups == []
+
+
+def test_kinds_of_schema(spark, tmp_path):
+    """Files whose schemas differ only within a type are told apart."""
+    made = {
+        "d1": "CAST(1 AS DECIMAL(9,2)) AS v", "d2": "CAST(1 AS DECIMAL(9,3)) AS v", "n": "CAST(1 AS INT) AS v",
+        "s": "named_struct('a', 1) AS v", "s2": "named_struct('a', 1L) AS v", "a": "array(1) AS v", "n2": "CAST(2 AS INT) AS v",
+        "t": "TIMESTAMP_NTZ '2020-01-01 00:00:00' AS v", "z": "TIMESTAMP '2020-01-01 00:00:00' AS v", "none": "1 AS v LIMIT 0",
+    }
+    for name, value in made.items():
+        spark.sql(f"SELECT {value}").coalesce(1).write.parquet(str(tmp_path / name))
+    found = by_footer(spark, [str(tmp_path / name) for name in made])
+    for schema, files in found.groups:
+        for path in files:
+            assert spark.read.parquet(path).schema == schema
+    assert sorted(len(files) for _, files in found.groups) == [1, 1, 1, 1, 1, 1, 1, 3]
+
+
+def test_reject_lines_of_odd_paths_are_replaced(spark, databases, tmp_path):
+    root = tmp_path / "a b%20c+d"
+    land(root, B1, {"1": "oops"})
+    for at in (AT1, AT2):
+        load_all(databases, str(root), at, entities=("opportunity",), skip_corrupt=True)
+        databases.spark.sql("DROP TABLE IF EXISTS raw.load_state")
+    lines = databases.read("raw.load_errors").select("file_path", "message", "count").collect()
+    assert [tuple(r) for r in lines] == [(f"file:{root}/{B1}/opportunity.parquet", "cannot read amount as decimal(15,2)", 1)]
