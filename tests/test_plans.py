@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import leadmill.workload.flow_queries  # noqa: F401 - registers its queries and those it builds on
 from leadmill.operators.conform import clean
@@ -75,3 +76,16 @@ def test_either_or_joins_have_no_matches_on_the_right(spark, no_broadcast, name)
 
 def test_days_are_not_gathered(spark):
     assert "collect_list" not in plan_of(QUERIES["fct_daily_performance"](spark, DIR))
+
+
+def test_sides_of_many_rows_are_not_broadcast(spark, tmp_path):
+    """A small compressed file can hold a million keys, which are large as text."""
+    spark.range(1_500_000).write.parquet(str(tmp_path / "ids"))
+    ids = spark.read.parquet(str(tmp_path / "ids")).selectExpr("CAST(id AS STRING) AS k")
+    plan = plan_of(ids.join(ids.withColumnRenamed("k", "other"), F.col("k") == F.col("other"), "left"))
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+
+
+def test_checks_of_facts_share_no_plan(spark):
+    plan = plan_of(QUERIES["dq_keys"](spark, DIR))
+    assert "Exchange" not in plan and "Scan parquet" not in plan
