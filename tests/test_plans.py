@@ -89,3 +89,9 @@ def test_sides_of_many_rows_are_not_broadcast(spark, tmp_path):
 def test_checks_of_facts_share_no_plan(spark):
     plan = plan_of(QUERIES["dq_keys"](spark, DIR))
     assert "Exchange" not in plan and "Scan parquet" not in plan
+
+
+def test_counting_a_fact_leaves_out_what_it_does_not_need(spark, no_broadcast):
+    """The rows of the daily fact depend on keys alone; no engagement has to be summed up to count them."""
+    plan = plan_of(Tables(spark, DIR)("marketing.fct_daily_performance").groupBy().count())
+    assert "events.parquet" not in plan
