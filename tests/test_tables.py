@@ -164,3 +164,36 @@ def test_a_delta_writes_its_rows_once(spark, databases):
     assert not any(t.endswith("__next") for t in written)
     assert len(before & after) == 3, "only one of four parts is rewritten"
     assert w.read("raw.t").agg(F.sum("v"), F.count("*")).first() == (7, 1000)
+
+
+@pytest.mark.parametrize("gather", [True, False])
+def test_replaced_rows_are_computed_once(spark, databases, monkeypatch, gather):
+    w = Warehouse(spark, buckets=4, gather=gather)
+    w.replace("raw.t", frame(spark, [(k, "old") for k in range(40)], "k int, v string"), bucket_key="k")
+    computed, written = spark.sparkContext.accumulator(0), []
+
+    def note(part):
+        for batch in part:
+            computed.add(batch.num_rows)
+            yield batch
+
+    source = frame(spark, [(1, "a"), (1, "b"), (2, "c")], "k int, v string")
+    source = source.mapInArrow(note, source.schema)
+    plain = Warehouse.write
+    monkeypatch.setattr(Warehouse, "write", lambda self, table, *a, **b: written.append(table) or plain(self, table, *a, **b))
+    w.replace_keys("raw.t", source, frame(spark, [(1,), (2,), (3,)], "k int"), "k")
+    assert computed.value == 3 and "raw.t__delta" not in written
+    assert rows(w.read("raw.t").where("k < 5")) == [(0, "old"), (1, "a"), (1, "b"), (2, "c"), (4, "old")]
+    every = w.read("raw.t").select("k").distinct()
+    w.replace_keys("raw.t", frame(spark, [(7, "x")], "k int, v string"), every, "k")
+    assert rows(w.read("raw.t")) == [(7, "x")] and spark.table("raw.t").select(BUCKET).distinct().count() == 1
+    w.replace("raw.t", frame(spark, [(8, "y")], "k int, v string"))
+    assert rows(w.read("raw.t")) == [(8, "y")] and tables_in(spark, "raw") == ["t"]
+
+
+def test_only_tables_with_readers_keep_versions():
+    from leadmill.plans.build import is_read
+    from leadmill.plans.models import DIMENSION_MODELS, FACT_MODELS
+
+    assert not [m.name for m in FACT_MODELS.values() if is_read(m)]
+    assert is_read(DIMENSION_MODELS["dim_opportunity"])
