@@ -31,6 +31,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 16_384
 # Units whose ids a worker remembers, and neighbours that it remembers as kept or not.
 CACHE, PAIRS = 1_500_000, 300_000
+# Characters of the texts, and documents of joined ids, that a worker looks at together (one text at least).
+SOME, SOME_ROWS = 1 << 18, 32
 # Longer units are traced one by one.
 SHORT_UNIT = 32
 SPACE = 0x2581
@@ -236,7 +238,7 @@ class Encoder:
             _, first, inverse = np.unique(key[new], return_index=True, return_inverse=True)
             own = new[first]
             found = np.array(
-                [self.keeps(self.names[a] if a >= 0 else None, self.names[b]) for a, b in zip(left[own].tolist(), right[own].tolist())]
+                [self._left_alone(self.names[a] if a >= 0 else "", self.names[b]) for a, b in zip(left[own].tolist(), right[own].tolist())]
             )
             good[new] = found[inverse]
             self.pair_key[slot[own]], self.pair_good[slot[own]] = key[own], found
@@ -466,15 +468,16 @@ def prefixed(text: str) -> str:
     return (" " + text).replace(" ", chr(SPACE)) if text else ""
 
 
-def _some(batches: Iterable[pa.RecordBatch], limit: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def _some(batches: Iterable[pa.RecordBatch], limit: int = SOME) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     for batch in batches:
-        values, at = batch.column("text").to_pylist(), 0
-        while at < len(values):
+        sizes, at = pc.utf8_length(batch.column("text")).to_pylist(), 0
+        while at < len(sizes):
             to, size = at, 0
-            while to < len(values) and (to == at or size + len(values[to]) <= limit):
-                size += len(values[to])
+            while to < len(sizes) and (to == at or size + sizes[to] <= limit):
+                size += sizes[to]
                 to += 1
-            yield batch.slice(at, to - at), values[at:to]
+            rows = batch.slice(at, to - at)
+            yield rows, rows.column("text").to_pylist()
             at = to
 
 
@@ -530,7 +533,7 @@ def _encoded(docs: DataFrame, known: Broadcast, chunk: int, schema: str, finish:
 
     def transfer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = known.value.encoder()
-        for batch in batches:
+        for batch, _ in _some(batches):
             keys, parts, ends, found = [], [], [], []
             for r in batch.to_pylist():
                 matrix = encoder.transfer(r["text"], r["origin"], r["lo"], r["hi"], r["free_lo"], r["free_hi"])
@@ -562,11 +565,14 @@ def _encoded(docs: DataFrame, known: Broadcast, chunk: int, schema: str, finish:
 
     def back(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = known.value.encoder()
-        for batch in batches:
-            rows = batch.to_pylist()
-            ids = [encoder.path(r["text"], r["origin"], r["lo"], r["hi"], tuple(r["way"][:2]), tuple(r["way"][2:])) for r in rows]
+        for batch, _ in _some(batches):
+            ids = []
+            for r in batch.to_pylist():
+                way_in, way_out = tuple(r["way"][:2]), tuple(r["way"][2:])
+                ids.append(np.array(encoder.path(r["text"], r["origin"], r["lo"], r["hi"], way_in, way_out), np.int32))
+            ends = np.concatenate([[0], np.cumsum([len(i) for i in ids])])
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("key", "doc_id", "text_sha256", "part")), pa.array(ids, pa.list_(pa.int32()))],
+                [*(batch.column(c) for c in ("key", "doc_id", "text_sha256", "part")), _lists(np.concatenate(ids), ends)],
                 ["key", "doc_id", "text_sha256", "part", "ids"],
             )
 
@@ -591,7 +597,8 @@ def _encoded(docs: DataFrame, known: Broadcast, chunk: int, schema: str, finish:
 
     def whole_again(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield _finished(batch, finish, names)
+            for at in range(0, batch.num_rows, SOME_ROWS):
+                yield _finished(batch.slice(at, SOME_ROWS), finish, names)
 
     return short.unionByName(joined.mapInArrow(whole_again, schema))
 

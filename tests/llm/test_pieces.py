@@ -136,3 +136,12 @@ def test_units_whose_pieces_have_foreign_codes(model, monkeypatch):
     for text in random_texts(50, 8):
         ids, _ = encoder.encode([S.prefixed(text)])
         assert ids.tolist() == model.encode(text)
+
+
+def test_workers_hold_few_texts_at_once():
+    """A batch of many chunks is cut by its characters, before its texts and ids become Python objects."""
+    text = "word " * 3000
+    batch = S.pa.RecordBatch.from_pydict({"text": [text] * 200})
+    cut = list(S._some([batch]))
+    assert sum(rows.num_rows for rows, _ in cut) == 200 and [v for _, some in cut for v in some] == [text] * 200
+    assert max(sum(map(len, some)) for _, some in cut) <= 1 << 18
