@@ -197,3 +197,46 @@ def test_only_tables_with_readers_keep_versions():
 
     assert not [m.name for m in FACT_MODELS.values() if is_read(m)]
     assert is_read(DIMENSION_MODELS["dim_opportunity"])
+
+
+def test_a_stored_source_is_not_copied(spark, databases, monkeypatch):
+    w, written = databases, []
+    w.upsert("raw.t", frame(spark, [(1, "a", "x"), (2, "b", "x")]), "k")
+    w.write("raw.source", frame(spark, [(2, "B", "y"), (3, "c", "y")]))
+    write = Warehouse.write
+    monkeypatch.setattr(Warehouse, "write", lambda self, table, *args, **kw: written.append(table) or write(self, table, *args, **kw))
+    w.upsert("raw.t", spark.table("raw.source"), "k", stored=True)
+    assert "raw.t__delta" not in written
+    assert rows(w.read("raw.t")) == [(1, "a", "x"), (2, "B", "y"), (3, "c", "y")]
+
+
+@pytest.mark.parametrize("gone", [1, 39])
+def test_rows_that_stay_are_told_by_the_shorter_list(spark, databases, monkeypatch, gone):
+    w, joins = Warehouse(spark, buckets=2), []
+    data = [(i, f"v{i}", "old") for i in range(40)] + [(None, "no key", "old")]
+    w.replace("raw.t", frame(spark, data), bucket_key="k")
+    keys = frame(spark, [(i,) for i in range(gone)], "k int")
+    join = type(keys).join
+    monkeypatch.setattr(type(keys), "join", lambda self, other, on=None, how=None: joins.append((how, self.columns)) or join(self, other, on, how))
+    w.replace_keys("raw.t", frame(spark, [(0, "n1", "new"), (0, "n2", "new")]), keys, "k")
+    assert [how for how, columns in joins if "v" in columns and "key_bucket" not in columns] == ["left_semi" if gone > 20 else "left_anti"]
+    want = [(0, "n1", "new"), (0, "n2", "new")] + [r for r in data if r[0] is None or r[0] >= gone]
+    assert rows(w.read("raw.t")) == sorted(want, key=repr)
+
+
+def test_tables_halve_hashes(spark, databases):
+    w = Warehouse(spark, buckets=2, gather=False)
+    hashes = spark.range(20_000).selectExpr("id AS k", "md5(CAST(id AS STRING)) AS v", "'x' AS p")
+    w.replace("raw.t", hashes, bucket_key="k")
+    w.replace_keys("raw.t", hashes, hashes.select("k"), "k")
+    files = [r[0] for r in spark.table("raw.t").select("_metadata.file_path").distinct().collect()]
+    assert files and sum(os.path.getsize(f.removeprefix("file:")) for f in files) < 20_000 * 30
+
+
+def test_unique_keys_are_checked_by_hash(spark, databases, monkeypatch):
+    from leadmill.operators import upsert
+
+    counted, duplicates = [], upsert.duplicate_keys
+    monkeypatch.setattr(upsert, "duplicate_keys", lambda df, key: counted.append(key) or duplicates(df, key))
+    upsert.single_source_rows(frame(spark, [(1, "a", "x"), (None, "b", "x"), (None, "c", "x")]), "k")
+    assert counted == ["hash"]
