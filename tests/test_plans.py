@@ -95,3 +95,32 @@ def test_counting_a_fact_leaves_out_what_it_does_not_need(spark, no_broadcast):
     """The rows of the daily fact depend on keys alone; no engagement has to be summed up to count them."""
     plan = plan_of(Tables(spark, DIR)("marketing.fct_daily_performance").groupBy().count())
     assert "events.parquet" not in plan
+
+
+def test_event_rows_meet_their_engagements_once(spark, no_broadcast):
+    """No list of an event's distances is made to be joined back to the event's rows."""
+    from leadmill.plans.models import FACT_MODELS
+    from leadmill.workload.views import AS_OF
+
+    t = Tables(spark, DIR)
+    outcome, engagement = (t(f"marketing.{n}").limit(100) for n in ("dim_event_outcome", "dim_email_engagement"))
+    outcome.write.mode("overwrite").saveAsTable("plan_outcome")
+    engagement.write.mode("overwrite").saveAsTable("plan_engagement")
+    inputs = {"dim_event_outcome": spark.table("plan_outcome"), "dim_email_engagement": spark.table("plan_engagement")}
+    plan = plan_of(FACT_MODELS["fct_event_performance"].build(**inputs, as_of=AS_OF))
+    for name in ("plan_outcome", "plan_engagement"):
+        spark.sql(f"DROP TABLE {name}")
+    assert plan.count("SortMergeJoin") == 1
+
+
+def test_inputs_linked_by_the_driving_key_are_cut_by_the_keys(spark):
+    from leadmill.operators.watermarks import restrict_inputs
+    from leadmill.plans.models import FACT_MODELS
+
+    inputs = {
+        "dim_event_outcome": spark.createDataFrame([("e1", 1), ("e2", 2)], "event_id string, driving_row int"),
+        "dim_email_engagement": spark.createDataFrame([("e1",), ("e2",), (None,)], "campaign_name string"),
+    }
+    out = restrict_inputs(FACT_MODELS["fct_event_performance"], inputs, spark.createDataFrame([("e2",)], "event_id string"))
+    assert out["dim_email_engagement"]._jdf.queryExecution().analyzed().toString().count("driving_row") == 0
+    assert [r[0] for r in out["dim_email_engagement"].collect()] == ["e2"]
