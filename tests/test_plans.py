@@ -124,3 +124,27 @@ def test_inputs_linked_by_the_driving_key_are_cut_by_the_keys(spark):
     out = restrict_inputs(FACT_MODELS["fct_event_performance"], inputs, spark.createDataFrame([("e2",)], "event_id string"))
     assert out["dim_email_engagement"]._jdf.queryExecution().analyzed().toString().count("driving_row") == 0
     assert [r[0] for r in out["dim_email_engagement"].collect()] == ["e2"]
+
+
+def test_inputs_that_point_at_the_same_columns_are_looked_up_at_once(spark, no_broadcast):
+    """Four inputs point at a send's campaign, and five at an engagement's send: one semi join for each list."""
+    from leadmill.operators.watermarks import affected_keys
+    from leadmill.plans.models import FACT_MODELS
+
+    spec, t = FACT_MODELS["fact_marketing_performance"], Tables(spark, DIR)
+    inputs = {name: t(ref) for name, ref in spec.inputs.items()}
+    plan = affected_keys(spec, inputs, inputs)._jdf.queryExecution().optimizedPlan().toString()
+    # The sends' campaigns, and the engagements' sends, contacts and leads' contacts.
+    assert plan.count("Join LeftSemi") <= 4
+
+
+def test_many_keys_cut_the_driving_input_alone(spark):
+    from leadmill.operators.watermarks import restrict_inputs
+    from leadmill.plans.models import FACT_MODELS
+
+    spec, t = FACT_MODELS["fct_campaign_performance"], Tables(spark, DIR)
+    inputs = {name: t(ref) for name, ref in spec.inputs.items()}
+    keys = inputs["dim_campaign"].where("campaign_id <> '7'").select("campaign_id")
+    out = restrict_inputs(spec, inputs, keys, few=False)
+    assert [name for name in inputs if out[name] is not inputs[name]] == ["dim_campaign"]
+    assert out["dim_campaign"].count() == inputs["dim_campaign"].count() - 1
