@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from datetime import datetime
 
@@ -41,6 +42,14 @@ def file_names(spark: SparkSession, pattern: str, at_once: int = FILES_AT_ONCE)
     return reader.load(pattern).select(F.col("path").alias("file_path"), batch_id_of(F.col("path")).alias("batch_id"))
 
 
+def parts_per_file(spark: SparkSession, pattern: str) -> int:
+    """Files that a landed file consists of, on average: Spark lands a folder of parts under the file's name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(pattern).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    landed, parts = (len(store.globStatus(path(p)) or ()) for p in (pattern, f"{pattern}/[!_.]*"))
+    return max(1, math.ceil(parts / max(1, landed)))
+
+
 def ingest(
     warehouse: Warehouse,
     root: str,
@@ -57,12 +66,18 @@ def ingest(
     their footers and brought to common types, so files that differ from those of other batches do no harm. A
     micro-batch that runs again after a failure upserts the same rows and changes nothing. The checkpoint moves only
     after the write; an unreadable file fails its micro-batch.
+
+    ``at_once`` counts landed files. Each upsert rewrites what it touches, so the parts of a landed file, whose number
+    grows with the writer's cores and rows, are not dealt to micro-batches of their own as long as ``FILES_AT_ONCE``
+    names hold them.
     """
-    names = file_names(warehouse.spark, entity_glob(root, spec.name), at_once)
+    pattern = entity_glob(root, spec.name)
+    parts = at_once * parts_per_file(warehouse.spark, pattern)
+    names = file_names(warehouse.spark, pattern, max(at_once, min(parts, FILES_AT_ONCE)))
     names = names.where(parse_batch_id(F.col("batch_id")).isNotNull())
 
     def load(batch: DataFrame, _: int) -> None:
-        files = batch.collect()  # at most ``at_once`` names
+        files = batch.collect()  # at most ``at_once`` or ``FILES_AT_ONCE`` names
         groups = by_footer(warehouse.spark, [r["file_path"] for r in files])
         if groups.unreadable:
             raise ValueError(f"unreadable files of {spec.name}: {groups.unreadable[:3]}")

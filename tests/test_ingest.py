@@ -345,3 +345,13 @@ def test_reject_lines_of_odd_paths_are_replaced(spark, databases, tmp_path):
         databases.spark.sql("DROP TABLE IF EXISTS raw.load_state")
     lines = databases.read("raw.load_errors").select("file_path", "message", "count").collect()
     assert [tuple(r) for r in lines] == [(f"file:{root}/{B1}/opportunity.parquet", "cannot read amount as decimal(15,2)", 1)]
+
+
+def test_the_parts_of_a_landed_file_are_loaded_at_once(spark, databases, tmp_path):
+    """A folder of parts is one landed file, however many parts the writer's cores made of it."""
+    w, spec, root = databases, ENTITIES["opportunity"], tmp_path / "parts"
+    for i, batch in enumerate((B1, B2)):
+        rows = spark.range(i * 4, i * 4 + 4, numPartitions=4).select(F.col("id").cast("string").alias("OPPORTUNITY_ID"))
+        rows.write.parquet(str(root / batch / "opportunity.parquet"))
+    ingest(w, str(root), spec, str(tmp_path / "checkpoint"), loaded_at=lambda: AT1, at_once=2)
+    assert w.read("raw.opportunity").count() == 8 and w.newest_load("raw.opportunity") == 1
