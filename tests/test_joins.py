@@ -32,6 +32,13 @@ def sides(spark):
     return a, b
 
 
+@pytest.fixture
+def no_broadcast_joins(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_or_of_equalities(sides):
     a, b = sides
     plain = a.join(b, (a.c == b.rc) | (a.l == b.rc), "left")
@@ -123,3 +130,23 @@ def test_conditional_distinct(sides):
         F.count_distinct("c").alias("all"), F.count_distinct(F.when(F.col("l") == "0", F.col("c"))).alias("zero")
     )
     same_rows(conditional_distinct(a, ["g"], "c", {"all": None, "zero": F.col("l") == "0"}), plain)
+
+
+@pytest.mark.parametrize("min_rows", [3, 100_000])
+def test_fanout_with_one_row_for_a_key(spark, sides, no_broadcast_joins, min_rows):
+    """One row of a key with all its left and right rows, hot keys cut or not, keys without either kept."""
+    a, b = sides
+    one = spark.createDataFrame([(None, 0), *[(str(k), k + 1) for k in range(8)]], "c string, o int")
+    left, right = a.select("id", "c"), b.select("rid", F.col("rc").alias("c"))
+    plain = one.join(left, "c", "left").join(right, "c", "left").select("c", "o", "id", "rid")
+    out = fanout_left_join(left, right, "c", parts=10, min_rows=min_rows, one=one)
+    same_rows(out, plain)
+
+
+def test_rows_that_meet_one_and_many_move_once(spark, sides, no_broadcast_joins):
+    a, b = sides
+    one = spark.createDataFrame([("0", 1)], "c string, o int")
+    out = fanout_left_join(a.select("id", "c"), b.select("rid", F.col("rc").alias("c")), "c", one=one)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "__left_a" in line]
+    assert len(moved) == 1
