@@ -148,3 +148,10 @@ def test_many_keys_cut_the_driving_input_alone(spark):
     out = restrict_inputs(spec, inputs, keys, few=False)
     assert [name for name in inputs if out[name] is not inputs[name]] == ["dim_campaign"]
     assert out["dim_campaign"].count() == inputs["dim_campaign"].count() - 1
+
+
+def test_names_do_not_travel_through_the_joins_of_members(spark, no_broadcast):
+    """The join that fetches a member's campaign name is the last one."""
+    plan = Tables(spark, DIR)("marketing.dim_campaign_member_engagement")._jdf.queryExecution().optimizedPlan().toString()
+    top = next(line for line in plan.splitlines() if "Join LeftOuter" in line)
+    assert "(campaign_id#" in top and "related" not in top
