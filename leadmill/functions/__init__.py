@@ -1,5 +1,5 @@
 from leadmill.functions.casts import safe_cast, strip_path_prefix, try_cast
-from leadmill.functions.keys import fact_key, surrogate_key
+from leadmill.functions.keys import fact_key, packed_key, surrogate_key, unpacked_key
 from leadmill.functions.times import (
     calendar_parts,
     day_diff,
@@ -24,11 +24,13 @@ __all__ = [
     "hour_boundaries",
     "is_time_type",
     "outcome_label",
+    "packed_key",
     "parse_batch_id",
     "safe_cast",
     "stamp",
     "strip_path_prefix",
     "surrogate_key",
+    "unpacked_key",
     "try_cast",
     "zero_safe_ratio",
 ]

@@ -95,6 +95,35 @@ def test_business_watermark_skips_late_rows(spark, databases):
     assert [r["opportunity_id"] for r in w.read(spec.table).orderBy("opportunity_id").collect()] == ["1", "3"]
 
 
+@pytest.mark.parametrize("moved, rebuilt", [(("0", "1", "2", "3"), True), (("0",), False)])
+def test_many_affected_keys_recompute_all_rows(spark, databases, monkeypatch, moved, rebuilt):
+    """Where most rows are due, none of the old ones is looked for; a few keys leave the others alone."""
+    w, spec = Warehouse(spark, buckets=2), DIMENSION_MODELS["dim_opportunity"]
+    account = lambda i, name: (i, name, None, None, None, LOAD1)
+    opportunity = lambda i: (i, i, str(int(i) % 5), None, None, None, None, LOAD1)
+    put = lambda e, rows, at: w.upsert(f"raw.{e}", spark.createDataFrame(rows, ENTITIES[e].schema()), ENTITIES[e].key, loaded_at=at)
+    put("campaign", [], LOAD1)
+    put("account", [account(str(i), "old") for i in range(5)], LOAD1)
+    put("opportunity", [opportunity(str(i)) for i in range(20)], LOAD1)
+    models = [STAGING_MODELS[e] for e in ("account", "campaign", "opportunity")] + [spec]
+    for m in models:
+        run_model(w, m, RUN1)
+    put("account", [account(i, "new") for i in moved], LOAD2)
+    for m in models[:3]:
+        run_model(w, m, RUN2)
+    replaced = []
+    replace_keys = Warehouse.replace_keys
+    monkeypatch.setattr(Warehouse, "replace_keys", lambda self, *a, **k: (replaced.append(a[0]), replace_keys(self, *a, **k)))
+    run_model(w, spec, RUN2)
+    assert replaced == ([] if rebuilt else [spec.table])
+    raw = {e: w.read(f"raw.{e}") for e in ("account", "campaign", "opportunity")}
+    same_rows(values(w.read(spec.table)), values(derive("marketing.dim_opportunity", raw, RUN2)))
+    # The versions that were replaced are kept for the models that read this one.
+    assert w.read(f"{spec.table}__before").count() == (20 if rebuilt else 4)
+    assert w.bucketing(spec.table) == (2, "opportunity_id")
+    assert w.newest_load(spec.table) == 2
+
+
 def test_duplicate_model_keys_fail_loudly(spark, databases):
     w = databases
     load(w, random_tables(5, LOAD1), LOAD1)

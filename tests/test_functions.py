@@ -10,11 +10,13 @@ from leadmill.functions import (
     first_whole_day,
     hour_boundaries,
     outcome_label,
+    packed_key,
     parse_batch_id,
     safe_cast,
     stamp,
     strip_path_prefix,
     surrogate_key,
+    unpacked_key,
     zero_safe_ratio,
 )
 from leadmill.functions.times import calendar_parts
@@ -144,3 +146,12 @@ def test_values(spark):
     assert one(spark, label, o=(None, s), l=(None, s), c=(None, s)) == "No Link"
     assert one(spark, strip_path_prefix(F.col("p"), "s3://b/"), p=("s3://b/x/y", s)) == "x/y"
     assert one(spark, stamp(datetime(2024, 1, 2, 3, 4, 5, 6))) == datetime(2024, 1, 2, 3, 4, 5, 6)
+
+
+def test_packed_keys_come_back(spark):
+    """Keys that hash their id travel as nothing; any other, and NULL, as they are."""
+    df = spark.createDataFrame([("1", None), ("2", ""), ("3", "=x"), ("4", "odd"), (None, None)], "id string, own string")
+    for key in (F.col("own"), surrogate_key("id")):
+        rows = df.withColumn("sk", key).withColumn("p", packed_key("sk", "id")).withColumn("back", unpacked_key("p", "id"))
+        assert rows.where("NOT sk <=> back").count() == 0
+    assert {r["p"] for r in rows.collect()} == {""}

@@ -155,3 +155,12 @@ def test_names_do_not_travel_through_the_joins_of_members(spark, no_broadcast):
     plan = Tables(spark, DIR)("marketing.dim_campaign_member_engagement")._jdf.queryExecution().optimizedPlan().toString()
     top = next(line for line in plan.splitlines() if "Join LeftOuter" in line)
     assert "(campaign_id#" in top and "related" not in top
+
+
+@pytest.mark.parametrize("name", ["dim_opportunity", "dim_opportunity_performance"])
+def test_hashes_do_not_travel(spark, no_broadcast, name):
+    """Surrogate keys, which do not compress, are left out of shuffles and made again from the ids."""
+    df = QUERIES[name](spark, DIR)
+    text = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]", text)
+    assert moved and not [columns for columns in moved if re.search(r"_sk#", columns.replace("__sk#", ""))]
