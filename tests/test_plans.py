@@ -157,7 +157,7 @@ def test_names_do_not_travel_through_the_joins_of_members(spark, no_broadcast):
     assert "(campaign_id#" in top and "related" not in top
 
 
-@pytest.mark.parametrize("name", ["dim_opportunity", "dim_opportunity_performance"])
+@pytest.mark.parametrize("name", ["dim_opportunity", "dim_opportunity_performance", "fact_marketing_performance"])
 def test_hashes_do_not_travel(spark, no_broadcast, name):
     """Surrogate keys, which do not compress, are left out of shuffles and made again from the ids."""
     df = QUERIES[name](spark, DIR)
