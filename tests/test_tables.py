@@ -1,12 +1,14 @@
 import os
 from datetime import datetime
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
 
-from leadmill.operators.tables import BUCKET, Warehouse, publish
+from leadmill.operators.tables import BUCKET, OPEN_FILES, Warehouse, publish
 from leadmill.operators.upsert import DuplicateKeyError, keep_stamps, merge_rows
 from leadmill.registry import ENTITIES, STAMP
+from leadmill.workload.table_queries import side_by_side
 
 from conftest import rows, tables_in
 
@@ -240,3 +242,21 @@ def test_unique_keys_are_checked_by_hash(spark, databases, monkeypatch):
     monkeypatch.setattr(upsert, "duplicate_keys", lambda df, key: counted.append(key) or duplicates(df, key))
     upsert.single_source_rows(frame(spark, [(1, "a", "x"), (None, "b", "x"), (None, "c", "x")]), "k")
     assert counted == ["hash"]
+
+
+def test_tables_written_side_by_side_leave_the_session_as_it_was(spark, databases):
+    """The setting for open files is the session's; the second of two writers must not put back the first one's."""
+    w = Warehouse(spark, buckets=4, gather=False)
+    before = spark.conf.get(OPEN_FILES)
+    first, second = w._open_files(4), w._open_files(3)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(OPEN_FILES) == "3"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(OPEN_FILES) == before
+
+
+def test_inputs_load_side_by_side():
+    both = Barrier(2, timeout=10)
+    assert side_by_side(lambda name: (both.wait(), name)[1], ["a", "b"]) == ["a", "b"]
