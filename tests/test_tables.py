@@ -260,3 +260,16 @@ def test_tables_written_side_by_side_leave_the_session_as_it_was(spark, database
 def test_inputs_load_side_by_side():
     both = Barrier(2, timeout=10)
     assert side_by_side(lambda name: (both.wait(), name)[1], ["a", "b"]) == ["a", "b"]
+
+
+def test_tasks_may_open_more_files_than_there_are_buckets(spark, databases, monkeypatch):
+    """With the last file that a task may open, Spark begins to sort all rows that follow."""
+    w = Warehouse(spark, buckets=4, gather=False)
+    opened, plain = [], Warehouse._open_files
+    monkeypatch.setattr(Warehouse, "_open_files", lambda self, n: opened.append(n) or plain(self, n))
+    rows = spark.range(100).selectExpr("CAST(id AS STRING) AS k", "id AS v")
+    w.replace("raw.few", rows, bucket_key="k")
+    w.replace("raw.few", rows.withColumn("v", F.col("v") + 1), bucket_key="k")
+    files = spark.table("raw.few").select(BUCKET).distinct().count()
+    assert files == 4 and len(opened) == 2 and min(opened) > files
+    assert w.read("raw.few").agg(F.sum("v")).first()[0] == 5050
