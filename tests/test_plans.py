@@ -164,3 +164,20 @@ def test_hashes_do_not_travel(spark, no_broadcast, name):
     text = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]", text)
     assert moved and not [columns for columns in moved if re.search(r"_sk#", columns.replace("__sk#", ""))]
+
+
+@pytest.mark.parametrize("name", ["dim_campaign_member_engagement", "fct_daily_performance"])
+def test_hashes_of_members_do_not_travel(spark, no_broadcast, name):
+    """The daily fact's five keys are made from ids where its rows come together; so is the one of the members before."""
+    df = QUERIES[name](spark, DIR)
+    text = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]", text)
+    assert moved and not [columns for columns in moved if re.search(r"(campaign|member|lead|opportunity)_sk#", columns)]
+
+
+def test_results_are_written_with_zstd(spark):
+    """Hashes in hex take half the space; a codec that the cluster sets stays."""
+    key = "spark.sql.parquet.compression.codec"
+    spark.conf.unset(key)
+    Tables(spark, DIR)
+    assert spark.conf.get(key) == "zstd"
